@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import fingerprint, html_text, mixing, topk
 
 QUERIES = {
+    "op4_extract_html": html_text.op4,
     "op6_mix_sources": mixing.op6,
+    "op7_fingerprint": fingerprint.op7,
+    "op8_top_k": topk.op8,
 }
 
 ORACLES = {
     "op6_mix_sources": mixing.OP6_SQL,
+    "op8_top_k": topk.OP8_SQL,
 }
