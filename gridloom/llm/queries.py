@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import fingerprint, html_text, mixing, topk
+from . import fingerprint, html_text, lines, mixing, pii, topk
 
 QUERIES = {
+    "op3_pseudonyms": pii.op3,
     "op4_extract_html": html_text.op4,
     "op6_mix_sources": mixing.op6,
     "op7_fingerprint": fingerprint.op7,
     "op8_top_k": topk.op8,
+    "op10_line_dedup": lines.op10,
 }
 
 ORACLES = {
     "op6_mix_sources": mixing.OP6_SQL,
     "op8_top_k": topk.OP8_SQL,
+    "op10_line_dedup": lines.OP10_SQL,
 }
