@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprint, html_text, lines, mixing, pii, topk
+from . import fingerprint, html_text, lines, mixing, near_dup, pii, topk
 
 QUERIES = {
     "op3_pseudonyms": pii.op3,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_mix_sources": mixing.op6,
     "op7_fingerprint": fingerprint.op7,
     "op8_top_k": topk.op8,
+    "op9_near_duplicates": near_dup.op9,
     "op10_line_dedup": lines.op10,
 }
 
