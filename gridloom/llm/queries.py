@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprint, html_text, lines, mixing, near_dup, pii, topk
+from . import fingerprint, html_text, lines, mixing, near_dup, pii, topk, toxicity
 
 QUERIES = {
     "op3_pseudonyms": pii.op3,
     "op4_extract_html": html_text.op4,
+    "op5_toxicity": toxicity.op5,
     "op6_mix_sources": mixing.op6,
     "op7_fingerprint": fingerprint.op7,
     "op8_top_k": topk.op8,
