@@ -12,13 +12,14 @@ weight, so work stops there, and doubles the time in the rare other case.
 
 Equal texts form one class and are hashed as one. Classes that agree in a band
 of registers are candidates, and a link between two classes is a similarity of
-0.8 or more by the multisets themselves. First each class is held against the
-smallest class it shares a band with; what that connects needs no further look.
-Then, in bands that still hold more than one component, every pair across
-components is held against each other. So a group of thousands is linked by
-about as many comparisons, all pairs within it are never made, and no link
-between components that a band shows is lost. A pair of similarity 0.8 shares
-no band with a probability of 7e-5.
+0.8 or more by the multisets themselves. First each class is held against heads:
+the members of its bands that meet most others. What that connects needs no
+further look. In bands that still hold more than one component, the pairs across
+components are held against each other: in bands of at most PLAIN members all of
+them, in larger bands those that their overlaps with the head allow. So a group
+of thousands is linked by about as many comparisons, all pairs within it are
+never made, and no link between components that a band shows is lost. A pair of
+similarity 0.8 shares no band with a probability of 7e-5.
 
 Texts without words are copies of each other (null counts as empty). Repeated
 rows are copies. A null doc_id comes last in its class. Extra columns are
@@ -42,6 +43,8 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Pairs across components whose signatures agree less are not compared: 5 standard deviations under 0.8.
 ESTIMATE = 0.6
+#: Bands of more members go through their heads.
+PLAIN = 32
 
 _A, _B, _C, _D = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
 _S30, _S27, _S31, _S11, _S32 = (np.uint64(x) for x in (30, 27, 31, 11, 32))
@@ -198,7 +201,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def _close(a: str, b: str) -> Column:
     """Whether two sizes allow the similarity."""
-    return F.least(a, b) >= SIMILAR * F.greatest(a, b)
+    return F.least(F.col(a), F.col(b)) >= SIMILAR * F.greatest(F.col(a), F.col(b))
 
 
 def links_of(signed: DataFrame, docs: DataFrame) -> DataFrame:
@@ -206,28 +209,103 @@ def links_of(signed: DataFrame, docs: DataFrame) -> DataFrame:
     classes = stored(signed.groupBy("key").agg(F.first("signature").alias("signature"), F.first("size").alias("size")).filter("size > 0"))
     band = [F.xxhash64(F.lit(i), F.substring(F.col("signature"), i * ROWS * 4 + 1, ROWS * 4)) for i in range(BANDS)]
     banded = classes.select("key", "size", F.explode(F.array(*band)).alias("band"))
-    buckets = banded.groupBy("band").agg(F.min(F.struct("key", "size")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(banded.join(buckets, "band").select("band", "key", "size", F.col("head.key").alias("head"), F.col("head.size").alias("head_size")))
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stored(banded.join(buckets, "band").select("band", "key", "size", "n"))
+    # A band's head is the member that meets most others in all of its bands: the text that copies were made of, if it is there.
+    heads = members.join(members.groupBy("key").agg(F.sum("n").alias("met")), "key").groupBy("band").agg(F.max(F.struct("met", "key", "size")).alias("head"))
+    members = stored(members.join(heads, "band"))
     texts = docs.select(key_of(F.col("text")).alias("key"), "text").join(members.select("key").distinct(), "key", "left_semi")
     texts = stored(texts.groupBy("key").agg(F.first("text").alias("text")))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def with_texts(pairs: DataFrame) -> DataFrame:
+        """a, b -> a, b, x, y: the keys and their texts, in order of a."""
         x = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a")
-        return stored(x.select("a", "b", "x", "y").sortWithinPartitions("a").mapInArrow(_verified, "a string, b string"))
-
-    first = members.filter(F.col("key") != F.col("head")).filter(_close("size", "head_size"))
-    first = verified(first.groupBy("key").agg(F.min("head").alias("a")).select("a", F.col("key").alias("b")))
-    roots = components(first)
-    placed = members.select("band", "key", "size").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    placed = stored(placed.join(mixed, "band", "left_semi"))
-    parts = placed.select("band", "root").distinct()
-    across = parts.select("band", F.col("root").alias("root_a")).join(parts.select("band", F.col("root").alias("root_b")), "band").filter("root_a < root_b")
-    sided = lambda s: placed.select("band", F.col("root").alias(f"root_{s}"), F.col("key").alias(s), F.col("size").alias(f"size_{s}"))
-    pairs = across.join(sided("a"), ["band", "root_a"]).join(sided("b"), ["band", "root_b"]).filter(_close("size_a", "size_b")).select("a", "b").distinct()
+        return x.select("a", "b", "x", "y").sortWithinPartitions("a")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return stored(with_texts(pairs).mapInArrow(_verified, "a string, b string"))
+
+    def still_mixed(links: DataFrame) -> DataFrame:
+        """The members, with their roots, of bands that hold several components."""
+        roots = components(links)
+        placed = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
+        return stored(placed.join(mixed, "band", "left_semi"))
+
+    # First the head that meets most others, then the heads of all bands that are still mixed.
+    headed = members.filter((F.col("key") != F.col("head.key")) & _close("size", "head.size"))
+    first = headed.groupBy("key").agg(F.max("head").alias("head")).select(F.col("head.key").alias("a"), F.col("key").alias("b"))
+    links = verified(first)
+    placed = still_mixed(links)
+    open_ = placed.filter((F.col("key") != F.col("head.key")) & _close("size", "head.size")).select(F.col("head.key").alias("a"), F.col("key").alias("b"), "root")
+    head_roots = placed.filter(F.col("key") == F.col("head.key")).select(F.col("key").alias("a"), F.col("root").alias("head_root")).distinct()
+    open_ = open_.join(head_roots, "a").filter("root <> head_root").select("a", "b").distinct()
+    links = links.unionByName(verified(open_.join(first, ["a", "b"], "left_anti")))
+    placed = still_mixed(links)
+    pairs = _across(placed.filter(F.col("n") <= PLAIN)).unionByName(_through_heads(placed.filter(F.col("n") > PLAIN), with_texts)).distinct()
     signs = lambda s: classes.select(F.col("key").alias(s), F.col("signature").alias(f"sign_{s}"))
     pairs = pairs.join(signs("a"), "a").join(signs("b"), "b").mapInArrow(_alike, "a string, b string")
-    return first.unionByName(verified(pairs))
+    return links.unionByName(verified(pairs))
+
+
+def _across(placed: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components in bands of at most PLAIN members."""
+    sided = lambda s: placed.select("band", F.col("root").alias(f"root_{s}"), F.col("key").alias(s), F.col("size").alias(f"size_{s}"))
+    return sided("a").join(sided("b"), "band").filter("root_a < root_b").filter(_close("size_a", "size_b")).select("a", "b")
+
+
+def _through_heads(placed: DataFrame, with_texts) -> DataFrame:
+    """Pairs (a, b) across components in larger bands that can be similar, known by their overlaps with the band's head.
+
+    With o the overlap with the head, two members share at most min(o, o') runs
+    that the head has, and so have to share one that it hasn't, or
+    min(o, o') >= 4/9 (size + size') holds. The first is an equality join. For
+    the second, one of the two isn't linked to the head, and only sizes from 0.8
+    of its own to 9/4 o - size come into question, which are few or none unless
+    there are shorter texts cut out of the head.
+    """
+    schema = "a string, b string, size long, o long, extra array<long>"
+    held = stored(with_texts(placed.select(F.col("head.key").alias("a"), F.col("key").alias("b")).distinct()).mapInArrow(_against_head, schema))
+    roots = placed.select(F.col("key").alias("b"), "root").distinct()
+    held = held.join(roots, "b")
+    head_roots = held.filter("a = b").select("a", F.col("root").alias("head_root"))
+    held = stored(held.join(head_roots, "a").withColumn("linked", F.col("root") == F.col("head_root")))
+    sharing = held.select("a", "b", "size", "root", "linked", F.explode("extra").alias("run"))
+    # Runs that only one member has, or only linked ones, can't show a pair.
+    runs = sharing.groupBy("a", "run").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("a", "run")
+    sharing = sharing.join(runs, ["a", "run"], "left_semi")
+    one = sharing.filter(~F.col("linked")).select("a", "run", F.col("b").alias("b1"), F.col("size").alias("s1"), F.col("root").alias("r1"))
+    two = sharing.select("a", "run", F.col("b").alias("b2"), F.col("size").alias("s2"), F.col("root").alias("r2"))
+    shared = one.join(two, ["a", "run"]).filter("r1 <> r2").filter(_close("s1", "s2"))
+    fine = lambda x: F.floor(F.log(x.cast("double")) * 50).cast("int")
+    reach = F.floor(2.25 * F.col("o") - F.col("size"))
+    one = held.filter(~F.col("linked")).filter(reach >= SIMILAR * F.col("size")).select("a", F.col("b").alias("b1"), F.col("size").alias("s1"), F.col("root").alias("r1"), F.col("o").alias("o1"), reach.alias("reach"))
+    one = one.withColumn("at", F.explode(F.sequence(fine(SIMILAR * F.col("s1")) - 1, fine(F.col("reach")))))
+    two = held.select("a", fine(F.col("size")).alias("at"), F.col("b").alias("b2"), F.col("size").alias("s2"), F.col("root").alias("r2"), F.col("o").alias("o2"))
+    cut = one.join(two, ["a", "at"]).filter("r1 <> r2 AND 9 * least(o1, o2) >= 4 * (s1 + s2)").filter(_close("s1", "s2"))
+    both = shared.select("b1", "b2").unionByName(cut.select("b1", "b2"))
+    return both.select(F.least("b1", "b2").alias("a"), F.greatest("b1", "b2").alias("b"))
+
+
+def _against_head(batches):
+    """For each pair of a head and a member: the member's size, its overlap with the head, and its runs beyond the head's."""
+    last, own = None, None
+    for b in batches:
+        for at in range(0, b.num_rows, 1000):
+            part, sizes, shared, extra = b.slice(at, 1000), [], [], []
+            for key, x, y in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                if key != last:
+                    last, own = key, shingles(x)
+                hashes, counts = shingles(y)
+                _, i, j = np.intersect1d(hashes, own[0], assume_unique=True, return_indices=True)
+                common = np.zeros(len(hashes), np.int64)
+                common[i] = np.minimum(counts[i], own[1][j])
+                sizes.append(int(counts.sum()))
+                shared.append(int(common.sum()))
+                extra.append(hashes[common < counts].view(np.int64))
+            ends = np.cumsum([0, *map(len, extra)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *extra])))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), lists], ["a", "b", "size", "o", "extra"])
 
 
 def _alike(batches):
