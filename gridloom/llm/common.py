@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,5 +38,10 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, most_rows: int) -> DataFrame:
+    """A stored df of narrow rows, marked for broadcast if it has at most so many rows; else joins shuffle it."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -27,11 +27,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_side, stored
+
 DEPTH = 3
 MIN_DOCS = 10
 VARIABLE = 0.3
 MOST = 0.5
 _OPEN = "<*>"
+#: Up to so many leaves (a number each) and texts (a number and some places) are broadcast; more are shuffled.
+MOST_LEAVES, MOST_TEXTS = 500_000, 200_000
 
 
 def _tokens(line: Column) -> Column:
@@ -56,9 +60,11 @@ def _recurring(lines: DataFrame, by: list[str], min_docs: int) -> DataFrame:
 
 def templates(lines: DataFrame, min_docs: int = MIN_DOCS, variable: float = VARIABLE) -> tuple[DataFrame, DataFrame]:
     """parsed_lines -> (recurring templates with n_docs; lines in leaves of enough texts, with their template)."""
-    full = lines.join(_recurring(lines, ["leaf"], min_docs).select("leaf"), "leaf", "left_semi")
+    # Counting needs no lines, only their leaves; the lines are read again for the leaves that are left.
+    leaves = small_side(stored(_recurring(lines.select("leaf", "key"), ["leaf"], min_docs).select("leaf")), MOST_LEAVES)
+    full = stored(lines.join(leaves, "leaf", "left_semi"))
     # Equal lines of a leaf have equal tokens: each different line is taken apart once.
-    line_docs = full.groupBy("leaf", "line").agg(F.collect_set(F.lit(0)).alias("_")).drop("_")
+    line_docs = full.select("leaf", "line").distinct()
     tokens = full.select("leaf", "key", F.posexplode(_tokens(F.col("line"))).alias("at", "token"))
     fixed = _recurring(tokens, ["leaf", "at", "token"], min_docs).select("leaf", "at", "token", F.lit(True).alias("fixed"))
     apart = line_docs.select("leaf", "line", F.posexplode(_tokens(F.col("line"))).alias("at", "token"))
@@ -67,7 +73,7 @@ def templates(lines: DataFrame, min_docs: int = MIN_DOCS, variable: float = VARI
     parts = marked.groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", shown.alias("token")))).alias("parts"))
     parts = parts.select("leaf", "line", F.transform("parts", lambda x: x["token"]).alias("template"))
     share = F.size(F.filter("template", lambda x: x == _OPEN)) / F.size("template")
-    with_template = full.join(parts.filter(share <= variable), ["leaf", "line"])
+    with_template = stored(full.join(parts.filter(share <= variable), ["leaf", "line"]).drop("line"))
     return _recurring(with_template, ["leaf", "template"], min_docs), with_template
 
 
@@ -80,9 +86,9 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH,
 
 def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE, most: float = MOST) -> DataFrame:
     """docs (doc_id, text, ...) with recurring lines taken out of text; + n_lines, n_dropped."""
-    gone = dropped_lines(docs, min_docs, depth, variable)
+    gone = small_side(stored(dropped_lines(docs, min_docs, depth, variable)), MOST_TEXTS)
     all_ = docs.drop("n_lines", "n_dropped").withColumn("_key", F.xxhash64("text"))
-    all_ = all_.join(gone.select(F.col("key").alias("_key"), F.col("places").alias("_places")), "_key", "left")
+    all_ = all_.join(gone.withColumnsRenamed({"key": "_key", "places": "_places"}), "_key", "left")
     lines = F.split("text", "\n")
     # What stays are the stretches between dropped lines.
     ends = F.concat(F.array(F.lit(-1)), F.col("_places"), F.array(F.size(lines)))
