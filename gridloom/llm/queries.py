@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import fingerprint, html_text, lines, mixing, near_dup, pii, segment, topk, toxicity
+from . import fingerprint, html_text, lines, mixing, near_dup, pii, segment, suffixes, topk, toxicity
 
 QUERIES = {
     "op1_sentencepiece": segment.op1,
+    "op2_suffix_dedup": suffixes.op2,
     "op3_pseudonyms": pii.op3,
     "op4_extract_html": html_text.op4,
     "op5_toxicity": toxicity.op5,
