@@ -25,10 +25,12 @@ exactly. Extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from array import array
 from collections.abc import Iterable, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +40,8 @@ from pyspark.sql import functions as F
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-#: Edges kept before lattices are forgotten: about 130 MB.
-_MOST_EDGES = 4_000_000
-_SALT = 0x5E9C
+#: Edges kept before lattices are forgotten, about 250 MB with their nodes' names; symbols of chunks that share nodes.
+_MOST_EDGES, _SHARED = 3_000_000, 40
 
 
 class Vocabulary:
@@ -63,7 +64,13 @@ class Vocabulary:
         total = sum(1 / (r + 10) for r in range(len(ranks) + 256))
         self.pieces = {text: (1 / (r + 10) / total, i) for r, (text, i) in enumerate(ranks)}
         self.byte_share = 1 / (len(ranks) + 266) / total
-        self.beginnings = {text[:n] for text in self.pieces for n in range(1, len(text) + 1)}
+        #: By symbol; a piece's probability and id stand under "" where it ends.
+        self.trie: dict = {}
+        for text, x in self.pieces.items():
+            branch = self.trie
+            for c in text:
+                branch = branch.setdefault(c, {})
+            branch[""] = x
         self.longest = max(map(len, self.pieces), default=1)
 
     @classmethod
@@ -84,14 +91,13 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.clear()
-
-    def clear(self) -> None:
         self.starts: dict[str, int] = {}
         self.nodes = 0
         self._close()
         # By edge: node + share of the node's edges up to this one; share; next node (-1: end); piece.
         self._upto, self._p, self._target, self._piece = array("d"), array("d"), array("q"), array("i")
+        self._total = array("d")  # by node
+        self._passing: list[str] | None = None  # names that go with the next call, once the arrays are full
 
     @property
     def edges(self) -> int:
@@ -101,8 +107,23 @@ class Lattices:
         self.upto = self.p = self.target = self.piece = None
 
     def open(self, chunks: list[str]) -> np.ndarray:
-        """The first nodes of these chunks' lattices; the arrays hold until the next call."""
+        """The first nodes of these chunks' lattices; the arrays hold until the next call.
+
+        What was met first, and so most of what is frequent, is kept; beyond
+        _MOST_EDGES lattices last for one call.
+        """
         self._close()
+        if self._passing is not None:
+            edges, nodes = self._full
+            for part in (self._upto, self._p, self._target, self._piece):
+                del part[edges:]
+            del self._total[nodes:]
+            self.nodes = nodes
+            for name in self._passing:
+                del self.starts[name]
+            self._passing = []
+        elif self.edges > _MOST_EDGES:
+            self._full, self._passing = (self.edges, self.nodes), []
         found = list(map(self.starts.get, chunks))
         if None in found:
             get, add = self.starts.get, self._add
@@ -112,86 +133,97 @@ class Lattices:
         return np.array(found, np.int64)
 
     def _add(self, s: str) -> int:
-        n, base = len(s), self.nodes
-        pieces, beginnings = self.v.pieces, self.v.beginnings
-        # Sums over all ways from a symbol to the end, each step of the way scaled to keep them in range.
-        total = [1.0] * (n + 1)
-        rows: list = [None] * n
-        tails: list[tuple[int, bytes]] = []  # symbols spelled in bytes
-        for i in range(n - 1, -1, -1):
-            row, sum_ = [], 0.0
-            j = i + 1
-            piece = s[i:j]
-            while piece in beginnings:
-                x = pieces.get(piece)
-                if x is not None:
-                    w = x[0] * total[j]
-                    sum_ += w
-                    row.append((w, j, x[1]))
-                if j == n:
+        """A node stands for the rest of a chunk from some symbol on, so chunks with equal ends share their nodes.
+
+        Nodes are numbered from the end, and edges lead to nodes that are there.
+        Chunks of more than _SHARED symbols share nothing: their sums over all
+        ways to the end are scaled to stay in range.
+        """
+        n, at = len(s), self.nodes
+        starts, totals, passing = self.starts, self._total, self._passing
+        pieces, trie = self.v.pieces, self.v.trie
+        upto, p, target, names = self._upto, self._p, self._target, self._piece
+        total, number = [1.0] * (n + 1), [-1] * (n + 1)
+        share = n <= _SHARED
+        first = n
+        if share:
+            while first and (known := starts.get(s[first - 1 :])) is not None:
+                first -= 1
+                number[first], total[first] = known, totals[known]
+        for i in range(first - 1, -1, -1):
+            weights, to, which = [], [], []
+            branch = trie
+            for j in range(i, n):
+                branch = branch.get(s[j])
+                if branch is None:
                     break
-                j += 1
-                piece = s[i:j]
-            if s[i] not in pieces:
+                if "" in branch:
+                    weight, name = branch[""]
+                    weights.append(weight * total[j + 1])
+                    to.append(number[j + 1])
+                    which.append(name)
+            if s[i] not in pieces:  # spelled in bytes, from the last one back
                 spelled = s[i].encode()
-                tails.append((i, spelled))
-                w = self.v.byte_share ** len(spelled) * total[i + 1]
-                sum_ += w
-                row.append((w, i + 1 if len(spelled) == 1 else -len(tails), self.v.byte_ids[spelled[0]]))
-            total[i] = sum_
-            rows[i] = (row, sum_)
-            if sum_ < 1e-100:  # only the quotients of what is still in reach matter
+                goal = number[i + 1]
+                for k in range(len(spelled) - 1, 0, -1):
+                    upto.append(at + 1.0)
+                    p.append(1.0)
+                    target.append(goal)
+                    names.append(self.v.byte_ids[spelled[k]])
+                    totals.append(0.0)
+                    goal = at
+                    at += 1
+                weights.append(self.v.byte_share ** len(spelled) * total[i + 1])
+                to.append(goal)
+                which.append(self.v.byte_ids[spelled[0]])
+            if len(weights) == 1:
+                sum_ = weights[0]
+                p.append(1.0)
+            else:
+                sum_ = sum(weights)
+                shares = [w / sum_ for w in weights]
+                p.extend(shares)
+                shares.pop()
+                upto.extend([at + x for x in accumulate(shares)])
+            upto.append(at + 1.0)
+            target.extend(to)
+            names.extend(which)
+            totals.append(sum_)
+            number[i], total[i] = at, sum_
+            if share:
+                starts[s[i:]] = at
+                if passing is not None:
+                    passing.append(s[i:])
+            elif sum_ < 1e-100:
                 for j in range(i, min(n, i + self.v.longest) + 1):
                     total[j] *= 1e100
-        at = base + n
-        firsts = []
-        for _, spelled in tails:
-            firsts.append(at)
-            at += len(spelled) - 1
+            at += 1
         self.nodes = at
-        upto, p, target, names = self._upto, self._p, self._target, self._piece
-        for i, (row, sum_) in enumerate(rows, base):
-            if len(row) == 1:
-                _, j, name = row[0]
-                upto.append(i + 1.0)
-                p.append(1.0)
-                target.append(firsts[-j - 1] if j < 0 else base + j if j < n else -1)
-                names.append(name)
-                continue
-            share = 0.0
-            for w, j, name in row:
-                w /= sum_
-                share += w
-                upto.append(i + share)
-                p.append(w)
-                target.append(firsts[-j - 1] if j < 0 else base + j if j < n else -1)
-                names.append(name)
-            upto[-1] = i + 1.0
-        for (i, spelled), first in zip(tails, firsts):
-            for k in range(1, len(spelled)):
-                upto.append(first + k * 1.0)
-                p.append(1.0)
-                target.append(first + k if k + 1 < len(spelled) else base + i + 1 if i + 1 < n else -1)
-                names.append(self.v.byte_ids[spelled[k]])
-        self.starts[s] = base
-        return base
+        if not share:
+            starts[s] = at - 1
+            if passing is not None:
+                passing.append(s)
+        return number[0]
 
     def siblings(self, edge: int) -> range:
         """All edges of this edge's node."""
         node = math.ceil(self.upto[edge]) - 1
         return range(int(np.searchsorted(self.upto, node, side="right")), int(np.searchsorted(self.upto, node + 1, side="left")) + 1)
 
-    def walk(self, starts: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-        """(chunk, edge) of each step from these nodes to their lattices' ends, in order."""
+    def walk(self, starts: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the start, edge) of each step from these nodes to their lattices' ends, in order.
+
+        seeds: a number for each start, changed at each step.
+        """
         chunks, edges = [], []
         at, now = np.arange(len(starts)), starts
         while len(at):
-            e = np.searchsorted(self.upto, now + rng.random(len(at)), side="right")
+            e = np.searchsorted(self.upto, now + _uniform(seeds), side="right")
             chunks.append(at)
             edges.append(e)
             now = self.target[e]
-            going = now >= 0
-            at, now = at[going], now[going]
+            going = np.flatnonzero(now >= 0)
+            at, now, seeds = at[going], now[going], seeds[going] + _STEP
         if not chunks:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         chunk, edge = np.concatenate(chunks), np.concatenate(edges)
@@ -199,81 +231,175 @@ class Lattices:
         return chunk[order], edge[order]
 
 
-class _Path:
-    """A segmentation with the open nodes that it left from ``first`` on."""
+_STEP, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_S30, _S27, _S31, _S11 = (np.uint64(x) for x in (30, 27, 31, 11))
+
+
+def _hash(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _S30)) * _M1
+    x ^= x >> _S27
+    x *= _M2
+    x ^= x >> _S31
+    return x
 
-    def __init__(self, chunk, edge, first, value, lattices, rng):
-        self.chunk, self.edge, self.value = chunk, edge, value
-        p = lattices.p[edge]
-        log_p = np.log(p)
-        before = np.cumsum(log_p) - log_p
-        self.log_p = float(log_p.sum())
-        self.excluded: dict[int, list[int]] = {}
-        with np.errstate(divide="ignore"):
-            self.mass = before + np.log1p(-np.minimum(p, 1.0))
-        self.before = before
-        self.open = _truncated(self.mass, value, rng)
-        self.open[:first] = -np.inf
 
-    def best(self) -> tuple[float, int]:
-        if not len(self.open):
-            return -math.inf, 0
-        t = int(np.argmax(self.open))
-        return float(self.open[t]), t
+def _uniform(x: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) by hash."""
+    return ((_hash(x) >> _S11).astype(float) + 0.5) * 2.0**-53
 
 
-def _truncated(mass, bound: float, rng):
-    """Gumbel values located at mass and bounded."""
-    e = rng.standard_exponential(np.shape(mass))
+def _truncated(mass: np.ndarray, bound: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Gumbel values located at mass and bounded; none where there is no mass."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        out = mass - np.log(np.exp(mass - bound) + e)
+        out = mass - np.log(np.exp(mass - bound) - np.log(_uniform(seeds)))
     return np.where(np.isfinite(mass), np.minimum(out, bound), -np.inf)
 
 
-def sample(lattices: Lattices, text: str, seed: int, samples: int = SAMPLES) -> list[tuple[np.ndarray, float, float]]:
-    """(piece ids, log-probability, inclusion probability) of up to ``samples`` different segmentations, best value first."""
-    if not text:
-        return [(np.empty(0, np.int32), 0.0, 1.0)]
-    if lattices.edges > _MOST_EDGES:
-        lattices.clear()
-    rng = np.random.Generator(np.random.SFC64([seed & 0xFFFFFFFFFFFFFFFF, _SALT]))
-    starts = lattices.open(_CHUNK.findall(" " + text))
-    value = float(-math.log(rng.standard_exponential()))
-    paths = [_Path(*lattices.walk(starts, rng), 0, value, lattices, rng)]
-    while True:
-        (value, t), path = max(((p.best(), p) for p in paths), key=lambda x: x[0][0])
-        if value == -math.inf or len(paths) == samples:
+class _Paths:
+    """One segmentation of each of some texts, with the nodes each left open after its place ``first``."""
+
+    def __init__(self, texts, text, chunk, edge, first, value, seeds, lattices):
+        """text: for each step its place in texts (ascending); chunk, edge: of each step; seeds: by text."""
+        self.texts, self.chunk, self.edge, self.value = texts, chunk, edge, value
+        self.ends = np.searchsorted(text, np.arange(len(texts)), side="right")
+        self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
+        p = lattices.p[edge]
+        upto = np.cumsum(np.log(p))
+        total = np.concatenate([[0.0], upto])
+        base = total[self.starts]
+        self.log_p = total[self.ends] - base
+        self.before = total[:-1] - base[text]
+        self.excluded: dict[int, list[int]] = {}
+        with np.errstate(divide="ignore"):
+            mass = self.before + np.log1p(-np.minimum(p, 1.0))
+        place = np.arange(len(edge)) - self.starts[text]
+        self.open = _truncated(mass, value[text], seeds[text] + place.astype(np.uint64) * _SALT)
+        self.open[place < first[text]] = -np.inf
+        self.best = np.full(len(texts), -np.inf)
+        self.at = self.starts.copy()
+        some = np.flatnonzero(self.ends > self.starts)
+        if len(some):
+            self.best[some] = np.maximum.reduceat(self.open, self.starts[some])
+            hit = np.flatnonzero(self.open == self.best[text])
+            self.at[text[hit[::-1]]] = hit[::-1]  # the first of equals
+
+    def reopen(self, i: int, at: int, open_: float) -> None:
+        """Another value for the open node at a step of text i."""
+        self.open[at] = open_
+        part = self.open[self.starts[i] : self.ends[i]]
+        k = int(np.argmax(part))
+        self.best[i], self.at[i] = part[k], self.starts[i] + k
+
+
+def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int], samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float]]]:
+    """For each text up to ``samples`` different segmentations, best value first: (piece ids, log-probability, inclusion probability)."""
+    split = [_CHUNK.findall(" " + t) if t else [] for t in texts]
+    sizes = np.array([len(x) for x in split], np.int64)
+    starts = lattices.open([c for x in split for c in x])
+    begins = np.cumsum(sizes) - sizes
+    keys_ = _hash(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + _SALT)
+    seeds = lambda turn: _hash(keys_ + np.uint64(turn * int(_M2) % (1 << 64)))
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    number = np.arange(len(owner)) - begins[owner]
+
+    def chunk_seeds(rows: np.ndarray, turn: int) -> np.ndarray:
+        return _hash(seeds(turn)[owner[rows]] ^ (number[rows].astype(np.uint64) * _M1 + np.uint64(1)))
+
+    every = np.arange(len(owner))
+    chunk, edge = lattices.walk(starts, chunk_seeds(every, 1))
+    value = -np.log(-np.log(_uniform(seeds(0))))
+    none = np.zeros(len(texts), np.int64)
+    paths = [_Paths(np.arange(len(texts)), owner[chunk], chunk, edge, none, value, seeds(2), lattices)]
+    where = [[(0, i)] for i in range(len(texts))]  # of each text's segmentations: which paths, which place in them
+    last = value.copy()
+    for turn in range(1, samples + 1):
+        # Each text's highest open node over its segmentations so far.
+        best = [max((paths[p].best[i], -p, i) for p, i in w) for w in where]
+        last = np.array([x[0] for x in best])
+        going = np.flatnonzero(np.isfinite(last) & (np.array([len(w) for w in where]) == turn))
+        if turn == samples or not len(going):
             break
-        taken = path.excluded.setdefault(t, [int(path.edge[t])])
-        left = [e for e in lattices.siblings(taken[0]) if e not in taken]
-        shares = np.cumsum(lattices.p[left])
-        edge = left[min(len(left) - 1, int(np.searchsorted(shares, rng.random() * shares[-1], side="right")))]
-        taken.append(edge)
-        # What is still open here, below the value just used.
-        rest = float(lattices.p[[e for e in left if e != edge]].sum()) if len(left) > 1 else 0.0
-        path.open[t] = float(_truncated(path.before[t] + math.log(rest), value, rng)) if rest > 0 else -math.inf
-        at = int(path.chunk[t])
-        following = int(lattices.target[edge])
-        inner = lattices.walk(np.array([following]), rng)[1] if following >= 0 else np.empty(0, np.int64)
-        chunk, later = lattices.walk(starts[at + 1 :], rng)
-        chunks = np.concatenate([path.chunk[: t + 1], np.full(len(inner), at), chunk + at + 1])
-        edges = np.concatenate([path.edge[:t], [edge], inner, later])
-        paths.append(_Path(chunks, edges, t + 1, value, lattices, rng))
-    included = (lambda x: 1.0) if value == -math.inf else (lambda x: -math.expm1(-math.exp(min(700.0, x - value))))
-    return [(lattices.piece[p.edge], p.log_p, included(p.log_p)) for p in paths]
+        heads, firsts, inner, tails = [], [], [], []
+        for text in going.tolist():
+            v, p, i = best[text]
+            path = paths[-p]
+            at = int(path.at[i])
+            taken = path.excluded.setdefault(at, [int(path.edge[at])])
+            left = [e for e in lattices.siblings(taken[0]) if e not in taken]
+            shares = list(accumulate(lattices.p[left].tolist()))
+            u = _uniform(seeds(4 * turn)[text : text + 1] + np.uint64(len(taken)))[0]
+            k = min(len(left) - 1, bisect.bisect_right(shares, u * shares[-1]))
+            taken.append(left[k])
+            # What is still open there, below the value just used.
+            rest = shares[-1] - float(lattices.p[left[k]]) if len(left) > 1 else 0.0
+            again = -math.inf
+            if rest > 0:
+                again = float(_truncated(np.array([path.before[at] + math.log(rest)]), np.array([v]), seeds(4 * turn + 1)[text : text + 1] + np.uint64(len(taken)))[0])
+            place = at - int(path.starts[i])
+            heads.append((path.chunk[path.starts[i] : at + 1], np.append(path.edge[path.starts[i] : at], left[k])))
+            path.reopen(i, at, again)
+            firsts.append(place + 1)
+            inner.append(int(lattices.target[left[k]]))
+            tails.append(int(path.chunk[at]) + 1)
+        # The rest of the chunk that holds the node, then the later chunks anew.
+        ends = begins[going] + sizes[going]
+        later = np.concatenate([np.arange(a, b) for a, b in zip(tails, ends.tolist(), strict=True)]).astype(np.int64)
+        inside = np.flatnonzero(np.array(inner) >= 0)
+        own = np.array(tails, np.int64) - 1
+        from_ = np.concatenate([np.array(inner, np.int64)[inside], starts[later]])
+        rows = np.concatenate([own[inside], later])
+        order = np.lexsort((np.arange(len(rows)), rows))
+        step, edge = lattices.walk(from_[order], chunk_seeds(rows[order], 4 * turn + 2))
+        chunk = rows[order][step]
+        cuts = np.searchsorted(chunk, np.stack([own, ends]))
+        all_chunks = [x for (c, _), a, b in zip(heads, *cuts.tolist(), strict=True) for x in (c, chunk[a:b])]
+        all_edges = [x for (_, e), a, b in zip(heads, *cuts.tolist(), strict=True) for x in (e, edge[a:b])]
+        counts = np.array([len(c) + b - a for (c, _), a, b in zip(heads, *cuts.tolist(), strict=True)])
+        text = np.repeat(np.arange(len(going)), counts)
+        paths.append(_Paths(going, text, np.concatenate(all_chunks), np.concatenate(all_edges), np.array(firsts), last[going], seeds(4 * turn + 3)[going], lattices))
+        for i, text in enumerate(going.tolist()):
+            where[text].append((len(paths) - 1, i))
+    out = []
+    for text, w in enumerate(where):
+        got = []
+        for p, i in w:
+            path = paths[p]
+            log_p = float(path.log_p[i])
+            threshold = last[text]
+            included = 1.0 if not math.isfinite(threshold) else -math.expm1(-math.exp(min(700.0, log_p - threshold)))
+            got.append((lattices.piece[path.edge[path.starts[i] : path.ends[i]]], log_p, included))
+        out.append(got)
+    return out
+
+
+def sample(lattices: Lattices, text: str, key: int, samples: int = SAMPLES) -> list[tuple[np.ndarray, float, float]]:
+    """The samples of one text."""
+    return sample_batch(lattices, [text], [key], samples)[0]
+
+
+#: A Python worker runs many tasks; its lattices serve all those with the same vocabulary.
+_kept: list[tuple[list[bytes], Lattices]] = []
+
+
+def _lattices(vocabulary: Vocabulary) -> Lattices:
+    if not _kept or _kept[0][0] != vocabulary.bytes_:
+        _kept[:] = [(vocabulary.bytes_, Lattices(vocabulary))]
+    return _kept[0][1]
 
 
 def _encoded(vocabulary: Vocabulary, samples: int):
     fields = [("doc_id", pa.int64()), ("sample", pa.int32()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("inclusion", pa.float64()), ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))]
 
     def run(batches):
-        lattices = Lattices(vocabulary)
+        lattices = _lattices(vocabulary)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part, rows, all_ids = b.slice(at, 500), [], []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    text = text or ""
-                    for k, (ids, log_p, included) in enumerate(sample(lattices, text, -1 if doc_id is None else doc_id, samples), 1):
+            for at in range(0, b.num_rows, 50):
+                part, rows, all_ids = b.slice(at, 50), [], []
+                doc_ids, texts = part.column(0).to_pylist(), [x or "" for x in part.column(1).to_pylist()]
+                made = sample_batch(lattices, texts, [-1 if x is None else x for x in doc_ids], samples)
+                for doc_id, text, got in zip(doc_ids, texts, made, strict=True):
+                    for k, (ids, log_p, included) in enumerate(got, 1):
                         rows.append((doc_id, k, len(ids), log_p, included, vocabulary.decode(ids.tolist()) == text))
                         all_ids.append(ids)
                 ends = np.cumsum([0, *(len(x) for x in all_ids)]).astype(np.int32)
