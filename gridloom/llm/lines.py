@@ -51,6 +51,7 @@ def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     lines = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
     tokens = _tokens(F.col("line"))
     lead = F.transform(F.slice(tokens, 1, depth), _masked)
+    # A leaf is named by a hash of the tree's path.
     return lines.withColumn("leaf", F.xxhash64(F.size(tokens), lead)).filter(F.size(tokens) >= depth)
 
 
@@ -59,28 +60,33 @@ def _recurring(lines: DataFrame, by: list[str], min_docs: int) -> DataFrame:
 
 
 def templates(lines: DataFrame, min_docs: int = MIN_DOCS, variable: float = VARIABLE) -> tuple[DataFrame, DataFrame]:
-    """parsed_lines -> (recurring templates with n_docs; lines in leaves of enough texts, with their template)."""
+    """parsed_lines -> (recurring templates: template, n_docs, example; lines with few variables: key, place, template).
+
+    Lines, tokens at their places and templates go by 64-bit hashes, so only
+    numbers are shuffled; each different line is taken apart once.
+    """
     # Counting needs no lines, only their leaves; the lines are read again for the leaves that are left.
     leaves = small_side(stored(_recurring(lines.select("leaf", "key"), ["leaf"], min_docs).select("leaf")), MOST_LEAVES)
-    full = stored(lines.join(leaves, "leaf", "left_semi"))
-    # Equal lines of a leaf have equal tokens: each different line is taken apart once.
-    line_docs = full.select("leaf", "line").distinct()
-    tokens = full.select("leaf", "key", F.posexplode(_tokens(F.col("line"))).alias("at", "token"))
-    fixed = _recurring(tokens, ["leaf", "at", "token"], min_docs).select("leaf", "at", "token", F.lit(True).alias("fixed"))
-    apart = line_docs.select("leaf", "line", F.posexplode(_tokens(F.col("line"))).alias("at", "token"))
-    marked = apart.join(fixed, ["leaf", "at", "token"], "left")
-    shown = F.when(F.col("fixed"), F.col("token")).otherwise(F.lit(_OPEN))
-    parts = marked.groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", shown.alias("token")))).alias("parts"))
-    parts = parts.select("leaf", "line", F.transform("parts", lambda x: x["token"]).alias("template"))
-    share = F.size(F.filter("template", lambda x: x == _OPEN)) / F.size("template")
-    with_template = stored(full.join(parts.filter(share <= variable), ["leaf", "line"]).drop("line"))
-    return _recurring(with_template, ["leaf", "template"], min_docs), with_template
+    full = stored(lines.join(leaves, "leaf", "left_semi").withColumn("id", F.xxhash64("leaf", "line")))
+    placed = F.posexplode(_tokens(F.col("line"))).alias("at", "token")
+    name = F.xxhash64("leaf", "at", "token").alias("name")
+    fixed = _recurring(full.select("key", "leaf", placed).select("key", name), ["name"], min_docs).select("name")
+    apart = full.groupBy("id").agg(F.first("leaf").alias("leaf"), F.first("line").alias("line"))
+    apart = apart.withColumn("n", F.size(_tokens(F.col("line")))).select("id", "n", "leaf", placed).select("id", "n", "leaf", name)
+    parts = apart.join(fixed, "name").groupBy("id").agg(F.first("n").alias("n"), F.first("leaf").alias("leaf"), F.sort_array(F.collect_list("name")).alias("names"))
+    few = F.col("n") - F.size("names") <= variable * F.col("n")
+    parts = parts.filter(few).select("id", F.xxhash64("leaf", "names").alias("template"))
+    with_template = stored(full.select("key", "place", "id").join(parts, "id").select("key", "place", "template", "id"))
+    found = _recurring(with_template, ["template"], min_docs)
+    example = with_template.join(found.select("template"), "template", "left_semi").groupBy("template").agg(F.min("id").alias("id"))
+    example = example.join(full.select("id", "line"), "id").groupBy("template").agg(F.min("line").alias("example"))
+    return found.join(example, "template"), with_template.drop("id")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE) -> DataFrame:
     """For each text that loses lines: key (hash of the text), places (ascending)."""
-    found, lines = templates(parsed_lines(docs, depth), min_docs, variable)
-    gone = lines.join(found, ["leaf", "template"], "left_semi")
+    _, lines = templates(parsed_lines(docs, depth), min_docs, variable)
+    gone = lines.join(_recurring(lines, ["template"], min_docs).select("template"), "template", "left_semi")
     return gone.groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
