@@ -317,24 +317,24 @@ def _alike(batches):
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text -> doc_id, key, class_id for each row; class_id is the smallest doc_id of the group."""
+    """doc_id, text -> doc_id, key, root, class_id for each row; root names the group, class_id is its smallest doc_id."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(rows.select("doc_id", key_of(F.col("text")).alias("key"), "text").mapInArrow(_signed, "doc_id long, key string, signature binary, size long"))
     roots = components(links_of(signed, rows))
     keys = signed.groupBy("key").agg(F.min("doc_id").alias("first"))
     keys = stored(keys.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
     groups = keys.groupBy("root").agg(F.min("first").alias("class_id"))
-    named = keys.join(groups, "root").select("key", "class_id")
+    named = keys.join(groups, "root").select("key", "root", "class_id")
     return signed.select("doc_id", "key").join(named, "key")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with one row of each group: the one of the smallest doc_id (of repeated ids, of the smallest key)."""
     found = near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("key").alias("key"))
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("key").alias("key"), F.first("class_id").alias("class_id"))
     rows = docs.withColumn("_key", key_of(F.col("text")))
     rows = rows.join(kept.select(F.col("class_id").alias("_class"), F.col("key").alias("_kept")), rows["doc_id"].eqNullSafe(F.col("_class")) & (F.col("_key") == F.col("_kept")))
-    return rows.dropDuplicates(["_class", "_kept"]).select(*docs.columns)
+    return rows.dropDuplicates(["_kept"]).select(*docs.columns)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
