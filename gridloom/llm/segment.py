@@ -26,6 +26,7 @@ exactly. Extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import gc
 import math
 import re
 from array import array
@@ -42,6 +43,18 @@ MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 #: Edges kept before lattices are forgotten, about 250 MB with their nodes' names; symbols of chunks that share nodes.
 _MOST_EDGES, _SHARED = 3_000_000, 40
+_BASE = 0x9E3779B97F4A7C15
+_STEP, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_S30, _S27, _S31, _S11 = (np.uint64(x) for x in (30, 27, 31, 11))
+
+
+def _hash(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _S30)) * _M1
+    x ^= x >> _S27
+    x *= _M2
+    x ^= x >> _S31
+    return x
 
 
 class Vocabulary:
@@ -72,6 +85,21 @@ class Vocabulary:
                 branch = branch.setdefault(c, {})
             branch[""] = x
         self.longest = max(map(len, self.pieces), default=1)
+        self.singles = {text for text in self.pieces if len(text) == 1}
+        # Pieces by hash, for whole arrays of them.
+        up, down = self.powers(self.longest)
+        names = {text: int(_hash(np.array([(_hash(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + _SALT) * up[: len(text)]).sum()], np.uint64))[0]) for text in self.pieces}
+        order = sorted(self.pieces, key=names.__getitem__)
+        self.names = np.array([names[t] for t in order], np.uint64)
+        self.weights = np.array([self.pieces[t][0] for t in order])
+        self.ids = np.array([self.pieces[t][1] for t in order], np.int32)
+
+    @staticmethod
+    def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first n powers of a base and of its inverse."""
+        up, down = (np.full(n, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+        up[:1] = down[:1] = 1
+        return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -126,12 +154,80 @@ class Lattices:
             self._full, self._passing = (self.edges, self.nodes), []
         found = list(map(self.starts.get, chunks))
         if None in found:
-            get, add = self.starts.get, self._add
-            found = [add(c) if (x := get(c)) is None else x for c in chunks]
+            new = {c for c, x in zip(chunks, found) if x is None}
+            plain = [c for c in new if len(c) <= _SHARED and self.v.singles.issuperset(c)]
+            self._add_all(sorted(plain))
+            for c in new.difference(plain):
+                self._add(c)
+            found = list(map(self.starts.__getitem__, chunks))
         self.upto, self.p = np.frombuffer(self._upto), np.frombuffer(self._p)
         self.target, self.piece = np.frombuffer(self._target, np.int64), np.frombuffer(self._piece, np.int32)
         return np.array(found, np.int64)
 
+    def _add_all(self, chunks: list[str]) -> None:
+        """Nodes of many short chunks of symbols in the vocabulary, as by _add, in array operations.
+
+        A node's sum over all ways to the end needs those of shorter ends only,
+        so the new nodes are gone through by length.
+        """
+        starts, passing, base = self.starts, self._passing, self.nodes
+        number: list[int] = []  # of each symbol's node; -1 behind each chunk
+        places, lengths = [], []
+        at, offset = base, 0
+        for s in chunks:
+            n = len(s)
+            own = [-1] * (n + 1)
+            for i in range(n - 1, -1, -1):
+                end = s[i:]
+                known = starts.get(end)
+                if known is None:
+                    known = starts[end] = at
+                    at += 1
+                    places.append(offset + i)
+                    lengths.append(n - i)
+                    if passing is not None:
+                        passing.append(end)
+                own[i] = known
+            number += own
+            offset += n + 1
+        if at == base:
+            return
+        self.nodes = at
+        v = self.v
+        symbols = np.frombuffer(("\0".join(chunks) + "\0").encode("utf-32-le"), np.uint32)
+        sums = np.zeros(len(symbols) + 1, np.uint64)
+        up, down = v.powers(len(symbols))
+        np.cumsum(_hash(symbols.astype(np.uint64) + _SALT) * up, out=sums[1:])
+        place, length, numbers = np.array(places), np.array(lengths), np.array(number)
+        ahead = np.arange(1, v.longest + 1)
+        inside = ahead[None, :] <= length[:, None]
+        to = np.minimum(place[:, None] + ahead[None, :], len(symbols) - 1)
+        name = _hash((sums[to] - sums[place][:, None]) * down[place][:, None])
+        found = np.minimum(np.searchsorted(v.names, name), len(v.names) - 1)
+        hit = inside & (v.names[found] == name)
+        weight = np.where(hit, v.weights[found], 0.0)
+        following = numbers[to]
+        own = following >= base
+        old = np.frombuffer(self._total)
+        reached = np.where(following < 0, 1.0, old[np.where(own | (following < 0), 0, following)] if len(old) else 0.0)
+        del old
+        total = np.zeros(at - base)
+        order = np.argsort(length, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
+            f, o = following[rows], own[rows]
+            reached[rows] = np.where(o, total[np.where(o, f - base, 0)], reached[rows])
+            total[rows] = (weight[rows] * reached[rows]).sum(axis=1)
+        row, column = np.nonzero(hit)
+        p = weight[row, column] * reached[row, column] / total[row]
+        last = np.append(np.flatnonzero(np.diff(row)), len(row) - 1)
+        first = np.append(0, last[:-1] + 1)
+        upto = np.cumsum(p)
+        upto = base + row + (upto - (upto[first] - p[first])[row])
+        upto[last] = base + row[last] + 1.0
+        p[last[first == last]] = 1.0
+        for part, new in ((self._upto, upto), (self._p, p), (self._target, following[row, column].astype(np.int64)), (self._piece, v.ids[found[row, column]]), (self._total, total)):
+            part.frombytes(new.tobytes())
+
     def _add(self, s: str) -> int:
         """A node stands for the rest of a chunk from some symbol on, so chunks with equal ends share their nodes.
 
@@ -231,19 +327,6 @@ class Lattices:
         return chunk[order], edge[order]
 
 
-_STEP, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_S30, _S27, _S31, _S11 = (np.uint64(x) for x in (30, 27, 31, 11))
-
-
-def _hash(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _S30)) * _M1
-    x ^= x >> _S27
-    x *= _M2
-    x ^= x >> _S31
-    return x
-
-
 def _uniform(x: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) by hash."""
     return ((_hash(x) >> _S11).astype(float) + 0.5) * 2.0**-53
@@ -385,6 +468,7 @@ _kept: list[tuple[list[bytes], Lattices]] = []
 def _lattices(vocabulary: Vocabulary) -> Lattices:
     if not _kept or _kept[0][0] != vocabulary.bytes_:
         _kept[:] = [(vocabulary.bytes_, Lattices(vocabulary))]
+        gc.freeze()  # the vocabulary's many small tables needn't be looked through again and again
     return _kept[0][1]
 
 
@@ -394,8 +478,8 @@ def _encoded(vocabulary: Vocabulary, samples: int):
     def run(batches):
         lattices = _lattices(vocabulary)
         for b in batches:
-            for at in range(0, b.num_rows, 50):
-                part, rows, all_ids = b.slice(at, 50), [], []
+            for at in range(0, b.num_rows, 200):
+                part, rows, all_ids = b.slice(at, 200), [], []
                 doc_ids, texts = part.column(0).to_pylist(), [x or "" for x in part.column(1).to_pylist()]
                 made = sample_batch(lattices, texts, [-1 if x is None else x for x in doc_ids], samples)
                 for doc_id, text, got in zip(doc_ids, texts, made, strict=True):
