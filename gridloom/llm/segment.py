@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
@@ -524,7 +525,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*rest, "text"])
 
     kept = encoded.select(*rest)
-    return kept.mapInArrow(run, kept.schema.add("text", "string"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("text", T.StringType())]))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

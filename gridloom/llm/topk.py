@@ -88,7 +88,7 @@ def _histogram(width: int):
                 for i, x in enumerate(row.queries):
                     lo, step, need = x["lo"], x["step"], x["need"]
                     s = scores[i][fair[i]]
-                    s = s[(s >= lo) & (s < lo + step * BINS)]
+                    s = s[(s >= lo) & (s < x["hi"])]
                     n = np.bincount((s - lo) // step, minlength=BINS)[::-1]
                     above = np.cumsum(n) - n
                     for b in np.flatnonzero((n > 0) & (above < need)):
@@ -128,11 +128,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     packed = stored(vectors.mapInArrow(_packed(width), "ids binary, vectors binary"))
     asked_rows = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     asked_rows = stored(asked_rows.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(max(blocks, 1))).cast("int")))
-    state = asked_rows.select("query_id", F.lit(-most).cast("long").alias("lo"), F.lit(step).cast("long").alias("step"), F.lit(k).cast("long").alias("need"), F.lit(False).alias("done"))
+    state = asked_rows.select("query_id", F.lit(-most).cast("long").alias("lo"), F.lit(most).cast("long").alias("hi"), F.lit(step).cast("long").alias("step"), F.lit(k).cast("long").alias("need"), F.lit(False).alias("done"))
 
     def paired(state: DataFrame, run, schema: str) -> DataFrame:
         """Each block of vectors with each block of queries; broadcast chunks of bounded size."""
-        groups = asked_rows.join(state, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "vector", "lo", "step", "need")).alias("queries"))
+        groups = asked_rows.join(state, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "vector", "lo", "hi", "step", "need")).alias("queries"))
         out = None
         for at in range(0, max(blocks, 1), QUERY_BLOCKS):
             last = min(at + QUERY_BLOCKS, max(blocks, 1)) - 1
@@ -149,9 +149,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         # Only the bin of the kth value, or the lowest one if there are fewer than k.
         found = ranked.join(open_, "query_id").filter((F.col("upto") - F.col("n") < F.col("need")))
         found = found.groupBy("query_id").agg(F.min(F.struct("bin", "n", "upto")).alias("at"))
+        low = F.when(F.col("at").isNull(), F.col("lo")).otherwise(F.col("lo") + F.col("at.bin") * F.col("step"))
         now = open_.join(found, "query_id", "left").select(
             "query_id",
-            F.when(F.col("at").isNull(), F.col("lo")).otherwise(F.col("lo") + F.col("at.bin") * F.col("step")).alias("lo"),
+            low.alias("lo"),
+            F.least("hi", low + F.col("step")).alias("hi"),  # what is above has been counted
             F.ceil(F.col("step") / F.lit(BINS)).cast("long").alias("step"),
             F.coalesce(F.col("need") - (F.col("at.upto") - F.col("at.n")), F.col("need")).alias("need"),
             (F.col("at").isNull() | (F.col("step") == 1) | (F.col("at.upto") <= F.col("need"))).alias("done"),

@@ -358,7 +358,7 @@ def test_toxicity_odd_rows(spark):
 def test_pages(spark):
     rows = [(1, "u", "<article><p>The words of it and that is all of the text that this page has for you.</p></article>"), (2, None, None), (2, None, None), (3, "v", "")]
     got = html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x"))).collect()
-    assert len(got) == 4 and {r.page_id: r.n_chars for r in got} == {1: 75, 2: 0, 3: 0}
+    assert len(got) == 4 and {r.page_id: r.n_chars for r in got} == {1: 71, 2: 0, 3: 0}
     assert html_text.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
