@@ -183,8 +183,7 @@ def components(links: DataFrame) -> DataFrame:
     a join; the links are written between rounds.
     """
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
-    while True:
+    while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -193,10 +192,11 @@ def components(links: DataFrame) -> DataFrame:
         again = large.join(small, "a")
         moved = again.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(again.select("a", F.col("m").alias("b")))
         edges = stored(moved.filter("a <> b").distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("a").alias("key"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
-        before = now
+        # Stars are what is sought: no key has two roots, and no root has one.
+        twice = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        if twice.isEmpty() and edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
+            break
+    return edges.select(F.col("a").alias("key"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
 
 
 def _close(a: str, b: str) -> Column:
@@ -259,8 +259,9 @@ def _through_heads(placed: DataFrame, with_texts) -> DataFrame:
 
     With o the overlap with the head, two members share at most min(o, o') runs
     that the head has, and so have to share one that it hasn't, or
-    min(o, o') >= 4/9 (size + size') holds. The first is an equality join. For
-    the second, one of the two isn't linked to the head, and only sizes from 0.8
+    min(o, o') >= 4/9 (size + size') holds. The first is an equality join on the
+    first runs in order of hash, as many as the least overlap demands. For the
+    second, one of the two isn't linked to the head, and only sizes from 0.8
     of its own to 9/4 o - size come into question, which are few or none unless
     there are shorter texts cut out of the head.
     """
@@ -300,9 +301,15 @@ def _against_head(batches):
                 _, i, j = np.intersect1d(hashes, own[0], assume_unique=True, return_indices=True)
                 common = np.zeros(len(hashes), np.int64)
                 common[i] = np.minimum(counts[i], own[1][j])
-                sizes.append(int(counts.sum()))
-                shared.append(int(common.sum()))
-                extra.append(hashes[common < counts].view(np.int64))
+                size, o = int(counts.sum()), int(common.sum())
+                more = hashes[common < counts]
+                # A similar text shares 0.8 size - o of these at least, so one of the first that are left without as many less one.
+                least = max(1, math.ceil(SIMILAR * size - 1e-9) - o)
+                if size - o == len(more):
+                    more = more[: len(more) - least + 1]
+                sizes.append(size)
+                shared.append(o)
+                extra.append(more.view(np.int64))
             ends = np.cumsum([0, *map(len, extra)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *extra])))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), lists], ["a", "b", "size", "o", "extra"])
