@@ -42,8 +42,8 @@ from pyspark.sql import types as T
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-#: Edges kept before lattices are forgotten, about 250 MB with their nodes' names; symbols of chunks that share nodes.
-_MOST_EDGES, _SHARED = 3_000_000, 40
+#: Edges kept before lattices are forgotten, about 85 MB with their nodes' names; symbols of chunks that share nodes.
+_MOST_EDGES, _SHARED = 1_000_000, 40
 _BASE = 0x9E3779B97F4A7C15
 _STEP, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -479,8 +479,8 @@ def _encoded(vocabulary: Vocabulary, samples: int):
     def run(batches):
         lattices = _lattices(vocabulary)
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part, rows, all_ids = b.slice(at, 200), [], []
+            for at in range(0, b.num_rows, 50):
+                part, rows, all_ids = b.slice(at, 50), [], []
                 doc_ids, texts = part.column(0).to_pylist(), [x or "" for x in part.column(1).to_pylist()]
                 made = sample_batch(lattices, texts, [-1 if x is None else x for x in doc_ids], samples)
                 for doc_id, text, got in zip(doc_ids, texts, made, strict=True):
