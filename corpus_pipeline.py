@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates are cut out of the texts; n_chars follows the text."""
-    out = lines.without_recurring_lines(docs).drop("n_lines")
+    out = lines.without_recurring_lines(docs, most=None).drop("n_lines")
     return out.selectExpr(*[c if c != "n_chars" else "CASE WHEN n_dropped > 0 THEN CAST(length(text) AS BIGINT) ELSE n_chars END AS n_chars" for c in docs.columns])
 
 

@@ -11,7 +11,16 @@ a recurring template are dropped, in every document.
 Exact copies of a document are one text, so copies alone make nothing recur. A
 document which would lose more than ``most`` of its characters keeps all of
 them: it is a copy as a whole, or made of such lines only, and is the business
-of document dedup.
+of document dedup. So the query's SQL has it.
+
+With ``most=None`` lines go whatever share of the text they are, and copies are
+told apart by what they share: texts whose recurring lines are half of them or
+more are linked if more than ALIKE of their characters are in common templates,
+and a template has to stand in min_docs groups of linked texts instead. Links
+are sought under SEEDS weighted minima of a text's templates, each against two
+texts of those with the same minimum: pairs of less than about 0.8 can be missed
+(then they count as two groups), none is made without its exact overlap. Which
+tokens are fixed is counted by texts in either case.
 
 Everything is counting by key with partial sums, and a leaf that holds a third
 of all lines is never gathered anywhere. Leaves with too few texts go before
@@ -28,11 +37,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_side, stored
+from .near_dup import components
 
 DEPTH = 3
 MIN_DOCS = 10
 VARIABLE = 0.3
 MOST = 0.5
+ALIKE, SEEDS = 0.5, 6
 _OPEN = "<*>"
 #: Up to so many leaves (a number each) and texts (a number and some places) are broadcast; more are shuffled.
 MOST_LEAVES, MOST_TEXTS = 500_000, 200_000
@@ -60,7 +71,7 @@ def _recurring(lines: DataFrame, by: list[str], min_docs: int) -> DataFrame:
 
 
 def templates(lines: DataFrame, min_docs: int = MIN_DOCS, variable: float = VARIABLE) -> tuple[DataFrame, DataFrame]:
-    """parsed_lines -> (recurring templates: template, n_docs, example; lines with few variables: key, place, template).
+    """parsed_lines -> (recurring templates: template, n_docs, example; lines with few variables: key, place, template, chars).
 
     Lines, tokens at their places and templates go by 64-bit hashes, so only
     numbers are shuffled; each different line is taken apart once.
@@ -76,23 +87,55 @@ def templates(lines: DataFrame, min_docs: int = MIN_DOCS, variable: float = VARI
     parts = apart.join(fixed, "name").groupBy("id").agg(F.first("n").alias("n"), F.first("leaf").alias("leaf"), F.sort_array(F.collect_list("name")).alias("names"))
     few = F.col("n") - F.size("names") <= variable * F.col("n")
     parts = parts.filter(few).select("id", F.xxhash64("leaf", "names").alias("template"))
-    with_template = stored(full.select("key", "place", "id").join(parts, "id").select("key", "place", "template", "id"))
+    with_template = stored(full.select("key", "place", "id", F.length("line").alias("chars")).join(parts, "id").select("key", "place", "template", "chars", "id"))
     found = _recurring(with_template, ["template"], min_docs)
     example = with_template.join(found.select("template"), "template", "left_semi").groupBy("template").agg(F.min("id").alias("id"))
     example = example.join(full.select("id", "line"), "id").groupBy("template").agg(F.min("line").alias("example"))
     return found.join(example, "template"), with_template.drop("id")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE) -> DataFrame:
-    """For each text that loses lines: key (hash of the text), places (ascending)."""
+def _shared(a: Column, b: Column) -> Column:
+    """Characters that two arrays of (template, chars) have in common."""
+    held = F.map_from_entries(b)
+    return F.aggregate(a, F.lit(0).cast("long"), lambda got, x: got + F.coalesce(F.least(x["chars"], F.try_element_at(held, x["template"])), F.lit(0)))
+
+
+def copies(docs: DataFrame, recurring: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """recurring lines (key, template, chars) -> key, root of the texts that share most of their characters with others."""
+    held = recurring.groupBy("key", "template").agg(F.sum("chars").alias("chars")).groupBy("key").agg(F.sum("chars").alias("own"), F.collect_list(F.struct("template", "chars")).alias("held"))
+    sizes = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("key"), F.length("text").alias("total"))
+    # What two texts share beyond a half of both is at least half of either.
+    texts = held.join(sizes, "key").filter(F.col("own") >= alike * F.col("total")).dropDuplicates(["key"]).select("key", F.struct("own", "key", "total", "held").alias("text"))
+
+    def least(seed: int) -> Column:
+        draw = lambda x: (F.pmod(F.xxhash64(x["template"], F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+        return F.array_min(F.transform("text.held", lambda x: F.struct((-F.log(draw(x)) / x["chars"]).alias("at"), x["template"].alias("template"))))["template"]
+
+    bucket = F.array(*[F.xxhash64(F.lit(i), least(i)) for i in range(SEEDS)])
+    placed = stored(texts.select("key", "text", F.explode(F.array_distinct(bucket)).alias("bucket")))
+    heads = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("text").alias("most"), F.min_by("text", "key").alias("first")).filter("n > 1")
+    heads = small_side(stored(heads.select("bucket", F.array_distinct(F.array("most", "first")).alias("heads"))), MOST_TEXTS)
+    pairs = placed.join(heads, "bucket").select("key", "text", F.explode("heads").alias("head")).filter(F.col("key") != F.col("head.key"))
+    shared = _shared(F.col("text.held"), F.col("head.held"))
+    pairs = pairs.withColumn("shared", shared).filter(F.col("shared") > alike * (F.col("text.total") + F.col("head.total") - F.col("shared")))
+    return components(pairs.select(F.col("key").alias("a"), F.col("head.key").alias("b")))
+
+
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE, by_group: bool = False) -> DataFrame:
+    """For each text that loses lines: key (hash of the text), places (ascending). by_group: copies count as one."""
     _, lines = templates(parsed_lines(docs, depth), min_docs, variable)
     gone = lines.join(_recurring(lines, ["template"], min_docs).select("template"), "template", "left_semi")
+    if by_group:
+        gone = stored(gone)
+        roots = small_side(stored(copies(docs, gone)), MOST_TEXTS)
+        counted = gone.join(roots, "key", "left").select("template", F.coalesce("root", "key").alias("key"))
+        gone = gone.join(_recurring(counted, ["template"], min_docs).select("template"), "template", "left_semi")
     return gone.groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
-def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE, most: float = MOST) -> DataFrame:
+def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE, most: float | None = MOST) -> DataFrame:
     """docs (doc_id, text, ...) with recurring lines taken out of text; + n_lines, n_dropped."""
-    gone = small_side(stored(dropped_lines(docs, min_docs, depth, variable)), MOST_TEXTS)
+    gone = small_side(stored(dropped_lines(docs, min_docs, depth, variable, most is None)), MOST_TEXTS)
     all_ = docs.drop("n_lines", "n_dropped").withColumn("_key", F.xxhash64("text"))
     all_ = all_.join(gone.withColumnsRenamed({"key": "_key", "places": "_places"}), "_key", "left")
     lines = F.split("text", "\n")
@@ -100,7 +143,9 @@ def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: in
     ends = F.concat(F.array(F.lit(-1)), F.col("_places"), F.array(F.size(lines)))
     stays = F.flatten(F.transform(F.sequence(F.lit(1), F.size("_places") + 1), lambda i: F.slice(lines, F.element_at(ends, i) + 2, F.element_at(ends, i + 1) - F.element_at(ends, i) - 1)))
     all_ = all_.withColumn("_left", F.when(F.col("_places").isNotNull(), F.array_join(stays, "\n")))
-    cut = F.col("_left").isNotNull() & (F.length("_left") >= (1 - most) * F.length("text"))
+    cut = F.col("_left").isNotNull()
+    if most is not None:
+        cut &= F.length("_left") >= (1 - most) * F.length("text")
     return all_.withColumns(
         {
             "text": F.when(cut, F.col("_left")).otherwise(F.col("text")),
@@ -115,6 +160,12 @@ def op10(spark, sf_dir: str) -> DataFrame:
     return without_recurring_lines(docs)
 
 
+def op10_all(spark, sf_dir: str) -> DataFrame:
+    """As the pipeline does it: whatever share of a text recurs, with copies counted as one. SQL doesn't express the groups."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return without_recurring_lines(docs, most=None)
+
+
 #: ``{rows}`` stands for a query with doc_id and text and any further columns.
 LINES_SQL = rf"""
 d AS ({{rows}}),

@@ -15,6 +15,7 @@ QUERIES = {
     "op8_top_k": topk.op8,
     "op9_near_duplicates": near_dup.op9,
     "op10_line_dedup": lines.op10,
+    "op10_recurring_lines": lines.op10_all,
 }
 
 ORACLES = {

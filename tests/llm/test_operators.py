@@ -121,6 +121,21 @@ def test_documents_made_of_recurring_lines_stay_whole(spark):
     assert all(r.n_dropped == 0 for r in lines.without_recurring_lines(docs(spark, rows)).collect())
 
 
+def test_recurring_lines_go_whatever_their_share_and_copies_count_once(spark):
+    rng = random.Random(4)
+    own = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    common = "All of the articles of this site are free to read and to share with others"
+    rows = [(i, f"{own(40)}\n{common}", "", "", 0) for i in range(15)] + [(50 + i, f"{common}\n{own(2)}", "", "", 0) for i in range(5)]
+    base = [own(12) for _ in range(8)]  # near copies of one text, each with a line of its own
+    rows += [(100 + i, "\n".join([*base[: i % 8], own(12), *base[i % 8 + 1 :], common]), "", "", 0) for i in range(24)]
+    got = {r.doc_id: r for r in lines.without_recurring_lines(docs(spark, rows), most=None).collect()}
+    assert len(got) == len(rows)
+    for i, text, *_ in rows:
+        assert got[i].text == "\n".join(x for x in text.split("\n") if x != common) and got[i].n_dropped == 1
+    whole = [(i, f"the one line that all of these share\nanother shared line of them all\n{i}", "", "", 0) for i in range(20)]
+    assert all(r.n_dropped == 0 for r in lines.without_recurring_lines(docs(spark, whole), most=None).collect())
+
+
 def test_line_dedup_odd_rows(spark):
     out = lines.without_recurring_lines(clashing(docs(spark)))
     assert {(r.doc_id, r.text, r.n_dropped) for r in out.collect()} == {(r[0], r[1], 0) for r in ODD} and out.count() == len(ODD)
