@@ -5,6 +5,7 @@ import datetime
 import hashlib
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -357,6 +358,17 @@ def test_toxicity_never_learns_from_held_out_rows(spark):
     assert a == {r.doc_id: r.score for r in toxicity.score(docs(spark, rows), flipped).collect()}
 
 
+def test_toxicity_looks_at_all_words(spark):
+    rows, labels = _labelled(300)
+    rng = random.Random(12)
+    plain = " ".join("".join(rng.choices("mnopqrst", k=6)) for _ in range(40))  # toxic, without a word that other examples have
+    free = [i for i in range(5000, 5100) if zlib.crc32(str(i).encode()) % 4 != 2][0]
+    rows += [(free, plain, "en", "s", 0), (6000, f"{plain} more", "en", "s", 0)]
+    out = toxicity.score(docs(spark, rows), spark.createDataFrame([*labels, (free, 1, 1)], "doc_id long, quality int, toxic int")).collect()
+    got = {r.doc_id: r for r in out}
+    assert got[6000].evidence[0] == free and got[6000].score > got[next(i for i, _, t in labels if not t)].score
+
+
 def test_toxicity_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = toxicity.score(clashing(docs(spark)), none).collect()
