@@ -93,6 +93,25 @@ def clean_text(spark, sf_dir):
     return pages.unionByName(docs).select("kind", "id", T.clean_cell(F.col("raw")).alias("text"))
 
 
+# A page's pieces begin at its blocks; none is left out.
+_BLOCK = r"(<(?:article|blockquote|dd|div|dt|footer|h[1-6]|header|li|nav|p|pre|section|table|td|th|title|tr)[\s>])"
+
+
+@_query(
+    rf"""WITH s AS (SELECT 'page' AS kind, page_id AS id, string_split(regexp_replace(html, '{_BLOCK}', chr(1) || '\1', 'g'), chr(1)) AS parts FROM pages
+UNION ALL SELECT 'document', doc_id, string_split(text, chr(10)) FROM documents),
+r AS (SELECT kind, id, CAST(unnest(range(len(parts))) AS INTEGER) AS place, unnest(parts) AS raw FROM s),
+c AS (SELECT kind, id, place, {_clean_sql("raw")} AS t FROM r)
+SELECT kind, id, place, CASE WHEN contains(lower(t), 'file:') THEN 'IMAGE' WHEN contains(lower(t), 'help:') THEN 'HELP_PAGE'
+  WHEN contains(lower(t), 'wikipedia:wikiproject') THEN 'WIKI_PROJ_PAGE' ELSE t END AS text FROM c"""
+)
+def clean_text_all(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.split(F.regexp_replace("html", _BLOCK, "\x01$1"), "\x01").alias("parts"))
+    docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.split("text", "\n").alias("parts"))
+    parts = pages.unionByName(docs).select("kind", "id", F.posexplode("parts").alias("place", "raw"))
+    return parts.select("kind", "id", "place", T.clean_cell(F.col("raw")).alias("text"))
+
+
 @_query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in T.xsd_rows()) + ") v(datatype, xsd_label, xsd_uri)")
 def xsd_lookup(spark, sf_dir):
     return spark.createDataFrame(T.xsd_rows(), "datatype string, xsd_label string, xsd_uri string")
