@@ -12,18 +12,21 @@ weight, so work stops there, and doubles the time in the rare other case.
 
 Equal texts form one class and are hashed as one. Classes that agree in a band
 of registers are candidates, and a link between two classes is a similarity of
-0.8 or more by the multisets themselves. First each class is held against heads:
-the members of its bands that meet most others. What that connects needs no
-further look. In bands that still hold more than one component, the pairs across
-components are held against each other: in bands of at most PLAIN members all of
-them, in larger bands those that their overlaps with the head allow. So a group
-of thousands is linked by about as many comparisons, all pairs within it are
-never made, and no link between components that a band shows is lost. A pair of
-similarity 0.8 shares no band with a probability of 7e-5.
+0.8 or more by the multisets themselves, always counted in full. First each
+class is held against one head: the member of its bands that meets most others.
+What that connects needs no further look. The classes of bands that still hold
+more than one component are open, and all similar pairs across components among
+them are found by a prefix join: the runs of each class are ordered by the
+number of open classes that have them, rarest first, and two classes of 0.8 or
+more have a run in common among the first few of either, at places which leave
+enough behind them. So a group of thousands is linked by about as many
+comparisons, all pairs within it are never made, and no link between components
+that a band shows is lost. A pair of similarity 0.8 shares no band with a
+probability of 7e-5.
 
 Texts without words are copies of each other (null counts as empty). Repeated
-rows are copies. A null doc_id comes last in its class. Extra columns are
-ignored by ``near_duplicates`` and kept by ``deduplicated``.
+rows are copies. A null doc_id comes last in its class. Extra columns, whatever
+their names, are ignored by ``near_duplicates`` and kept by ``deduplicated``.
 """
 
 from __future__ import annotations
@@ -32,19 +35,20 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small_side, stored
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
-#: Pairs across components whose signatures agree less are not compared: 5 standard deviations under 0.8.
-ESTIMATE = 0.6
-#: Bands of more members go through their heads.
-PLAIN = 32
+#: A head with more partners than this is dealt out over several tasks.
+PARTNERS = 500
+#: Up to so many keys are broadcast; more are shuffled.
+MOST_KEYS = 500_000
 
 _A, _B, _C, _D = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
 _S30, _S27, _S31, _S11, _S32 = (np.uint64(x) for x in (30, 27, 31, 11, 32))
@@ -83,6 +87,15 @@ def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(_mix(x), return_counts=True)
 
 
+def elements(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A multiset as a set: the kth copy of a run has a name of its own. Ascending, so that sets can be merged."""
+    parts, k = [hashes], 1
+    while len(at := np.flatnonzero(counts > k)):
+        parts.append(_mix(hashes[at] + _C * np.uint64(k)))
+        k += 1
+    return np.unique(np.concatenate(parts).view(np.int64))
+
+
 def signature(hashes: np.ndarray, counts: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
     """A 32-bit point name for each register; all zeros for an empty multiset."""
     out = np.zeros(registers, np.uint32)
@@ -158,15 +171,27 @@ def _signed(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(signs, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "key", "signature", "size"])
 
 
-def _verified(batches):
-    """Pairs with texts, in order of a: those of enough overlap."""
-    last, own = None, None
+def _listed(batches):
+    """key, text -> key, size, runs."""
     for b in batches:
-        keep = []
-        for i, (key, x, y) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
-            if key != last:
-                last, own = key, shingles(x)
-            if overlap(own, shingles(y)) >= SIMILAR:
+        for at in range(0, b.num_rows, 1000):
+            part = b.slice(at, 1000)
+            sets = [elements(*shingles(x)) for x in part.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends).astype(np.int64)), lists], ["key", "size", "runs"])
+
+
+def _alike(batches):
+    """a, b, x, y: the pairs whose sets of runs x and y overlap enough."""
+    for b in batches:
+        (x, y), keep = (b.column(i).flatten().to_numpy() for i in (2, 3)), []
+        ends = [np.concatenate([[0], np.cumsum(pa.compute.list_value_length(b.column(i)).to_numpy())]) for i in (2, 3)]
+        for i in range(b.num_rows):
+            m, n = (x[ends[0][i] : ends[0][i + 1]], y[ends[1][i] : ends[1][i + 1]])
+            at = np.minimum(np.searchsorted(m, n), len(m) - 1)
+            common = int(np.count_nonzero(m[at] == n))
+            if common >= SIMILAR * (len(m) + len(n) - common):
                 keep.append(i)
         yield b.select([0, 1]).take(pa.array(keep, pa.int64()))
 
@@ -204,130 +229,84 @@ def _close(a: str, b: str) -> Column:
     return F.least(F.col(a), F.col(b)) >= SIMILAR * F.greatest(F.col(a), F.col(b))
 
 
-def links_of(signed: DataFrame, docs: DataFrame) -> DataFrame:
-    """signed (key, signature, size) and docs (text) -> links (a, b) that connect each component, by exact overlap."""
+def verified(pairs: DataFrame, held: DataFrame, name: str) -> DataFrame:
+    """Those pairs (a, b) of names whose runs overlap enough. held: name, runs.
+
+    A name may be in very many pairs as a: its runs then go to several tasks,
+    each of which has a part of its pairs.
+    """
+    kind = dict(held.dtypes)[name]
+    many = small_side(stored(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PARTNERS).select("a", F.ceil(F.col("n") / PARTNERS).cast("int").alias("parts"))), MOST_KEYS)
+    dealt = pairs.join(many, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0)).cast("int").alias("part"))
+    sides = held.select(F.col(name).alias("a"), F.col("runs").alias("x")).join(pairs.select("a").distinct(), "a", "left_semi").join(many, "a", "left")
+    sides = sides.select("a", "x", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    both = dealt.join(held.select(F.col(name).alias("b"), F.col("runs").alias("y")), "b").join(sides, ["a", "part"])
+    return both.select("a", "b", "x", "y").mapInArrow(_alike, f"a {kind}, b {kind}")
+
+
+def candidates(held: DataFrame) -> DataFrame:
+    """id, root, size, runs -> every pair (a, b) of ids of different roots that can be similar.
+
+    A prefix join. With the runs of each in one order, the rarest first, two sets
+    of 0.8 or more have a run among the first 0.2 of the longer one and the first
+    ninth of the shorter one in common; and where their first common run stands,
+    at least the overlap they need has to be left behind it in both. Runs that
+    only one set has come first and are only counted. Pairs that are not similar
+    can come out, none that is similar and across roots is missing.
+    """
+    runs = held.select("id", F.explode("runs").alias("run"))
+    often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = runs.join(often, "run").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "run"))).alias("shared"))
+    shared = shared.join(held.select("id", "root", "size"), "id")
+    # The share of a set that stays behind the prefix; sizes are whole numbers, so a billionth makes up for rounding.
+    behind = lambda part: F.col("size") - F.ceil(F.lit(part) * F.col("size") - 1e-9) + 1
+    alone = F.col("size") - F.size("shared")
+    first = shared.select("id", "root", "size", alone.alias("alone"), behind(SIMILAR).alias("longer"), behind(2 * SIMILAR / (1 + SIMILAR)).alias("shorter"), "shared")
+    first = first.filter("longer > alone").select("id", "root", "size", "alone", "shorter", F.posexplode(F.slice("shared", F.lit(1), (F.col("longer") - F.col("alone")).cast("int"))).alias("at", "x"))
+    first = first.select("id", "root", "size", (F.col("alone") + F.col("at")).alias("at"), "shorter", F.col("x.run").alias("run"))
+    side = lambda s: [F.col("run"), *(F.col(c).alias(f"{c}_{s}") for c in ("id", "root", "size", "at"))]
+    one, two = first.filter("at < shorter").select(*side("a")), first.select(*side("b"))
+    need = F.ceil(F.lit(SIMILAR / (1 + SIMILAR)) * (F.col("size_a") + F.col("size_b")) - 1e-9)
+    fits = (F.col("size_b") * SIMILAR <= F.col("size_a")) & ((F.col("size_a") < F.col("size_b")) | (F.col("size_a") == F.col("size_b")) & (F.col("id_a") < F.col("id_b")))
+    left = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    pairs = one.join(two, "run").filter((F.col("root_a") != F.col("root_b")) & fits & (left >= need))
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def roots_of(signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """signed (key, signature, size) and docs (text) -> (key, root) of the keys that have links, by exact overlap."""
     classes = stored(signed.groupBy("key").agg(F.first("signature").alias("signature"), F.first("size").alias("size")).filter("size > 0"))
     band = [F.xxhash64(F.lit(i), F.substring(F.col("signature"), i * ROWS * 4 + 1, ROWS * 4)) for i in range(BANDS)]
     banded = classes.select("key", "size", F.explode(F.array(*band)).alias("band"))
     buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stored(banded.join(buckets, "band").select("band", "key", "size", "n"))
+    met = stored(members.groupBy("key").agg(F.sum("n").alias("met")))
+    texts = docs.select(key_of(F.col("text")).alias("key"), "text").join(small_side(met.select("key"), MOST_KEYS), "key", "left_semi")
+    held = stored(texts.groupBy("key").agg(F.first("text").alias("text")).mapInArrow(_listed, "key string, size long, runs array<long>"))
     # A band's head is the member that meets most others in all of its bands: the text that copies were made of, if it is there.
-    heads = members.join(members.groupBy("key").agg(F.sum("n").alias("met")), "key").groupBy("band").agg(F.max(F.struct("met", "key", "size")).alias("head"))
-    members = stored(members.join(heads, "band"))
-    texts = docs.select(key_of(F.col("text")).alias("key"), "text").join(members.select("key").distinct(), "key", "left_semi")
-    texts = stored(texts.groupBy("key").agg(F.first("text").alias("text")))
-
-    def with_texts(pairs: DataFrame) -> DataFrame:
-        """a, b -> a, b, x, y: the keys and their texts, in order of a."""
-        x = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a")
-        return x.select("a", "b", "x", "y").sortWithinPartitions("a")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return stored(with_texts(pairs).mapInArrow(_verified, "a string, b string"))
-
-    def still_mixed(links: DataFrame) -> DataFrame:
-        """The members, with their roots, of bands that hold several components."""
-        roots = components(links)
-        placed = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-        return stored(placed.join(mixed, "band", "left_semi"))
-
-    # First the head that meets most others, then the heads of all bands that are still mixed.
-    headed = members.filter((F.col("key") != F.col("head.key")) & _close("size", "head.size"))
-    first = headed.groupBy("key").agg(F.max("head").alias("head")).select(F.col("head.key").alias("a"), F.col("key").alias("b"))
-    links = verified(first)
-    placed = still_mixed(links)
-    open_ = placed.filter((F.col("key") != F.col("head.key")) & _close("size", "head.size")).select(F.col("head.key").alias("a"), F.col("key").alias("b"), "root")
-    head_roots = placed.filter(F.col("key") == F.col("head.key")).select(F.col("key").alias("a"), F.col("root").alias("head_root")).distinct()
-    open_ = open_.join(head_roots, "a").filter("root <> head_root").select("a", "b").distinct()
-    links = links.unionByName(verified(open_.join(first, ["a", "b"], "left_anti")))
-    placed = still_mixed(links)
-    pairs = _across(placed.filter(F.col("n") <= PLAIN)).unionByName(_through_heads(placed.filter(F.col("n") > PLAIN), with_texts)).distinct()
-    signs = lambda s: classes.select(F.col("key").alias(s), F.col("signature").alias(f"sign_{s}"))
-    pairs = pairs.join(signs("a"), "a").join(signs("b"), "b").mapInArrow(_alike, "a string, b string")
-    return links.unionByName(verified(pairs))
-
-
-def _across(placed: DataFrame) -> DataFrame:
-    """Pairs (a, b) across components in bands of at most PLAIN members."""
-    sided = lambda s: placed.select("band", F.col("root").alias(f"root_{s}"), F.col("key").alias(s), F.col("size").alias(f"size_{s}"))
-    return sided("a").join(sided("b"), "band").filter("root_a < root_b").filter(_close("size_a", "size_b")).select("a", "b")
-
-
-def _through_heads(placed: DataFrame, with_texts) -> DataFrame:
-    """Pairs (a, b) across components in larger bands that can be similar, known by their overlaps with the band's head.
-
-    With o the overlap with the head, two members share at most min(o, o') runs
-    that the head has, and so have to share one that it hasn't, or
-    min(o, o') >= 4/9 (size + size') holds. The first is an equality join on the
-    first runs in order of hash, as many as the least overlap demands. For the
-    second, one of the two isn't linked to the head, and only sizes from 0.8
-    of its own to 9/4 o - size come into question, which are few or none unless
-    there are shorter texts cut out of the head.
-    """
-    schema = "a string, b string, size long, o long, extra array<long>"
-    held = stored(with_texts(placed.select(F.col("head.key").alias("a"), F.col("key").alias("b")).distinct()).mapInArrow(_against_head, schema))
-    roots = placed.select(F.col("key").alias("b"), "root").distinct()
-    held = held.join(roots, "b")
-    head_roots = held.filter("a = b").select("a", F.col("root").alias("head_root"))
-    held = stored(held.join(head_roots, "a").withColumn("linked", F.col("root") == F.col("head_root")))
-    sharing = held.select("a", "b", "size", "root", "linked", F.explode("extra").alias("run"))
-    # Runs that only one member has, or only linked ones, can't show a pair.
-    runs = sharing.groupBy("a", "run").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("a", "run")
-    sharing = sharing.join(runs, ["a", "run"], "left_semi")
-    one = sharing.filter(~F.col("linked")).select("a", "run", F.col("b").alias("b1"), F.col("size").alias("s1"), F.col("root").alias("r1"))
-    two = sharing.select("a", "run", F.col("b").alias("b2"), F.col("size").alias("s2"), F.col("root").alias("r2"))
-    shared = one.join(two, ["a", "run"]).filter("r1 <> r2").filter(_close("s1", "s2"))
-    fine = lambda x: F.floor(F.log(x.cast("double")) * 50).cast("int")
-    reach = F.floor(2.25 * F.col("o") - F.col("size"))
-    one = held.filter(~F.col("linked")).filter(reach >= SIMILAR * F.col("size")).select("a", F.col("b").alias("b1"), F.col("size").alias("s1"), F.col("root").alias("r1"), F.col("o").alias("o1"), reach.alias("reach"))
-    one = one.withColumn("at", F.explode(F.sequence(fine(SIMILAR * F.col("s1")) - 1, fine(F.col("reach")))))
-    two = held.select("a", fine(F.col("size")).alias("at"), F.col("b").alias("b2"), F.col("size").alias("s2"), F.col("root").alias("r2"), F.col("o").alias("o2"))
-    cut = one.join(two, ["a", "at"]).filter("r1 <> r2 AND 9 * least(o1, o2) >= 4 * (s1 + s2)").filter(_close("s1", "s2"))
-    both = shared.select("b1", "b2").unionByName(cut.select("b1", "b2"))
-    return both.select(F.least("b1", "b2").alias("a"), F.greatest("b1", "b2").alias("b"))
-
-
-def _against_head(batches):
-    """For each pair of a head and a member: the member's size, its overlap with the head, and its runs beyond the head's."""
-    last, own = None, None
-    for b in batches:
-        for at in range(0, b.num_rows, 1000):
-            part, sizes, shared, extra = b.slice(at, 1000), [], [], []
-            for key, x, y in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                if key != last:
-                    last, own = key, shingles(x)
-                hashes, counts = shingles(y)
-                _, i, j = np.intersect1d(hashes, own[0], assume_unique=True, return_indices=True)
-                common = np.zeros(len(hashes), np.int64)
-                common[i] = np.minimum(counts[i], own[1][j])
-                size, o = int(counts.sum()), int(common.sum())
-                more = hashes[common < counts]
-                # A similar text shares 0.8 size - o of these at least, so one of the first that are left without as many less one.
-                least = max(1, math.ceil(SIMILAR * size - 1e-9) - o)
-                if size - o == len(more):
-                    more = more[: len(more) - least + 1]
-                sizes.append(size)
-                shared.append(o)
-                extra.append(more.view(np.int64))
-            ends = np.cumsum([0, *map(len, extra)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *extra])))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), lists], ["a", "b", "size", "o", "extra"])
-
-
-def _alike(batches):
-    for b in batches:
-        if b.num_rows:
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint32).reshape(b.num_rows, -1) for i in (2, 3))
-            keep = np.flatnonzero((x == y).mean(axis=1) >= ESTIMATE)
-            yield b.select([0, 1]).take(pa.array(keep, pa.int64()))
+    heads = members.join(met, "key").groupBy("band").agg(F.max(F.struct("met", "key", "size")).alias("head"))
+    close = F.least(F.col("size"), F.col("head.size")) >= SIMILAR * F.greatest(F.col("size"), F.col("head.size"))
+    headed = members.join(heads, "band").filter((F.col("key") != F.col("head.key")) & close).groupBy("key").agg(F.max("head").alias("head"))
+    pairs = stored(headed.select(F.col("head.key").alias("a"), F.col("key").alias("b")))
+    roots = components(verified(pairs, held, "key"))
+    # Classes of bands that hold several components are open.
+    placed = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
+    open_ = placed.join(mixed, "band", "left_semi").select("key", "root").distinct()
+    open_ = stored(open_.join(held, "key").select(F.monotonically_increasing_id().alias("id"), "root", "size", "runs"))
+    found = verified(stored(candidates(open_)), open_, "id")
+    name = lambda s: open_.select(F.col("id").alias(s), F.col("root").alias(f"root_{s}"))
+    found = found.join(name("a"), "a").join(name("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    again = components(found).select(F.col("key").alias("root"), F.col("root").alias("above"))
+    more = again.select(F.col("root").alias("key"), F.col("above").alias("root")).join(roots, "key", "left_anti")
+    return roots.join(again, "root", "left").select("key", F.coalesce("above", "root").alias("root")).unionByName(more)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, text -> doc_id, key, root, class_id for each row; root names the group, class_id is its smallest doc_id."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(rows.select("doc_id", key_of(F.col("text")).alias("key"), "text").mapInArrow(_signed, "doc_id long, key string, signature binary, size long"))
-    roots = components(links_of(signed, rows))
+    roots = roots_of(signed, rows)
     keys = signed.groupBy("key").agg(F.min("doc_id").alias("first"))
     keys = stored(keys.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
     groups = keys.groupBy("root").agg(F.min("first").alias("class_id"))
@@ -337,11 +316,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with one row of each group: the one of the smallest doc_id (of repeated ids, of the smallest key)."""
-    found = near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("key").alias("key"), F.first("class_id").alias("class_id"))
-    rows = docs.withColumn("_key", key_of(F.col("text")))
-    rows = rows.join(kept.select(F.col("class_id").alias("_class"), F.col("key").alias("_kept")), rows["doc_id"].eqNullSafe(F.col("_class")) & (F.col("_key") == F.col("_kept")))
-    return rows.dropDuplicates(["_kept"]).select(*docs.columns)
+    found = stored(near_duplicates(docs))
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("key").alias("kept"))
+    named = found.join(kept, "root").select("doc_id", "key", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("kept"))).alias("stays"))
+    # Few rows go, or are the same as one that stays: only these are named, so that texts needn't be shuffled.
+    odd = stored(named.groupBy("doc_id", "key").agg(F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n")).filter("NOT stays OR n > 1"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("id"), key_of(F.col("text")).alias("own"))
+    same = lambda side: F.col("id").eqNullSafe(side["doc_id"]) & (F.col("own") == side["key"])
+    gone, twice = small_side(odd, MOST_KEYS), odd.filter("stays")
+    alone = rows.join(gone, same(gone), "left_anti")
+    again = rows.join(small_side(twice, MOST_KEYS), same(twice), "left_semi").dropDuplicates(["id", "own"])
+    return alone.unionByName(again).select("row.*")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
