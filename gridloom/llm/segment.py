@@ -13,10 +13,13 @@ in vain. The first value left open is the threshold of the inclusion
 probability 1 - exp(-exp(log p - threshold)), by which sums over samples can be
 weighed (1 if there is nothing left).
 
-Random numbers are seeded by doc_id alone, so results don't depend on
-partitions, and rows with equal doc_id and text get equal samples. No piece
-crosses a space that follows another symbol, so lattices are built for the
-stretches between, and kept while memory is bounded.
+Random numbers are seeded by doc_id alone and sums run over one text or one
+node, so results don't depend on partitions or batches to the last bit, and rows
+with equal doc_id and text get equal samples. No piece crosses a space that
+follows another symbol, so lattices are built for the stretches between, in array
+operations for those of many texts at once. A node stands for the rest of a
+stretch, so stretches of equal ends share nodes; they go by 64-bit hashes, and
+are kept while memory is bounded.
 
 A null text counts as empty; an empty text has one segmentation, without pieces.
 A null doc_id seeds like -1. Whole texts are encoded and ``decode`` restores them
@@ -29,12 +32,12 @@ import bisect
 import gc
 import math
 import re
-from array import array
 from collections.abc import Iterable, Sequence
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +45,8 @@ from pyspark.sql import types as T
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-#: Edges kept before lattices are forgotten, about 85 MB with their nodes' names; symbols of chunks that share nodes.
-_MOST_EDGES, _SHARED = 1_000_000, 40
+#: Edges kept before lattices are forgotten, about 100 MB with their nodes and names; texts and symbols of a batch.
+_MOST_EDGES, _TEXTS, _SYMBOLS = 2_000_000, 200, 400_000
 _BASE = 0x9E3779B97F4A7C15
 _STEP, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -58,6 +61,29 @@ def _hash(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least the first n powers of a base and of its inverse."""
+    if len(_powers.kept[0]) < n:
+        up, down = (np.full(2 * n, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+        up[:1] = down[:1] = 1
+        _powers.kept = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return _powers.kept
+
+
+_powers.kept = (np.empty(0, np.uint64), np.empty(0, np.uint64))
+
+
+def _sums(symbols: np.ndarray) -> np.ndarray:
+    """Running sums of hashes; a stretch's name is the difference at its ends, moved back to its place."""
+    sums = np.zeros(len(symbols) + 1, np.uint64)
+    np.cumsum(_hash(symbols.astype(np.uint64) + _SALT) * _powers(len(symbols))[0][: len(symbols)], out=sums[1:])
+    return sums
+
+
+def _symbols(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
 class Vocabulary:
     """Pieces with their probabilities; spaces are written as spaces."""
 
@@ -78,29 +104,56 @@ class Vocabulary:
         total = sum(1 / (r + 10) for r in range(len(ranks) + 256))
         self.pieces = {text: (1 / (r + 10) / total, i) for r, (text, i) in enumerate(ranks)}
         self.byte_share = 1 / (len(ranks) + 266) / total
-        #: By symbol; a piece's probability and id stand under "" where it ends.
-        self.trie: dict = {}
-        for text, x in self.pieces.items():
-            branch = self.trie
-            for c in text:
-                branch = branch.setdefault(c, {})
-            branch[""] = x
         self.longest = max(map(len, self.pieces), default=1)
-        self.singles = {text for text in self.pieces if len(text) == 1}
-        # Pieces by hash, for whole arrays of them.
-        up, down = self.powers(self.longest)
-        names = {text: int(_hash(np.array([(_hash(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + _SALT) * up[: len(text)]).sum()], np.uint64))[0]) for text in self.pieces}
-        order = sorted(self.pieces, key=names.__getitem__)
-        self.names = np.array([names[t] for t in order], np.uint64)
-        self.weights = np.array([self.pieces[t][0] for t in order])
-        self.ids = np.array([self.pieces[t][1] for t in order], np.int32)
+        # Pieces by name, for whole arrays of them.
+        texts = list(self.pieces)
+        sums, ends = _sums(_symbols("".join(texts))), np.cumsum([0, *map(len, texts)])
+        self.names = (sums[ends[1:]] - sums[ends[:-1]]) * _powers(len(sums))[1][ends[:-1]]
+        self.weights = np.log([self.pieces[t][0] for t in texts])
+        self.ids = np.array([self.pieces[t][1] for t in texts], np.int32)
+        self._place()
+
+    def _place(self) -> None:
+        """Tables from a name's bits to its number: what is pushed out of one has its place in the next."""
+        self.singles = np.zeros(0x110000, bool)
+        self.singles[[ord(t) for t in self.pieces if len(t) == 1]] = True
+        self.tables: list[np.ndarray] = []
+        left = np.arange(len(self.names), dtype=np.int32)
+        while len(left) or not self.tables:
+            table = np.full(1 << 18, -1, np.int32)
+            at = self._slots(self.names[left], len(self.tables))
+            table[at] = left
+            self.tables.append(table)
+            left = left[table[at] != left]
 
     @staticmethod
-    def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The first n powers of a base and of its inverse."""
-        up, down = (np.full(n, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
-        up[:1] = down[:1] = 1
-        return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    def _slots(names: np.ndarray, turn: int) -> np.ndarray:
+        return (names * np.uint64(pow(_BASE, turn + 1, 1 << 64)) >> np.uint64(46)).astype(np.int64)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("singles", "tables")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._place()
+
+    def find(self, names: np.ndarray) -> np.ndarray:
+        """The numbers of pieces by name, -1 for names that none has."""
+        out = np.full(len(names), -1, np.int64)
+        for turn, table in enumerate(self.tables):
+            at = table[self._slots(names, turn)]
+            np.copyto(out, at, where=(at >= 0) & (self.names[at] == names))
+        return out
+
+    def spelled(self, pieces: np.ndarray) -> np.ndarray:
+        """Ids of edges' pieces; a symbol outside the vocabulary (-1 less its code) becomes its bytes."""
+        low = int(pieces.min()) if len(pieces) else 0
+        if low >= -128:
+            return pieces if low >= 0 else np.where(pieces < 0, np.array(self.byte_ids, np.int32)[np.clip(-1 - pieces, 0, 127)], pieces)
+        out: list[int] = []
+        for x in pieces.tolist():
+            out += [x] if x >= 0 else [self.byte_ids[b] for b in chr(-1 - x).encode()]
+        return np.array(out, np.int32)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -121,19 +174,14 @@ class Lattices:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.starts: dict[str, int] = {}
-        self.nodes = 0
-        self._close()
-        # By edge: node + share of the node's edges up to this one; share; next node (-1: end); piece.
-        self._upto, self._p, self._target, self._piece = array("d"), array("d"), array("q"), array("i")
-        self._total = array("d")  # by node
-        self._passing: list[str] | None = None  # names that go with the next call, once the arrays are full
-
-    @property
-    def edges(self) -> int:
-        return len(self._p)
-
-    def _close(self) -> None:
-        self.upto = self.p = self.target = self.piece = None
+        self.nodes = self.edges = 0
+        self._full: tuple[int, int] | None = None  # nodes and edges that are kept, once there are enough
+        self._names, self._numbers = np.empty(0, np.uint64), np.empty(0, np.int64)  # of kept nodes, by name
+        self.first = np.zeros(1, np.int64)  # by node: its first edge
+        self.total = np.empty(0)  # by node: log-sum over all ways to the end
+        # By edge: share of the node's edges up to this one; log of its share; next node (-1: end); piece.
+        self.upto, self.log_p = np.empty(0), np.empty(0)
+        self.target, self.piece = np.empty(0, np.int32), np.empty(0, np.int32)
 
     def open(self, chunks: list[str]) -> np.ndarray:
         """The first nodes of these chunks' lattices; the arrays hold until the next call.
@@ -141,191 +189,128 @@ class Lattices:
         What was met first, and so most of what is frequent, is kept; beyond
         _MOST_EDGES lattices last for one call.
         """
-        self._close()
-        if self._passing is not None:
-            edges, nodes = self._full
-            for part in (self._upto, self._p, self._target, self._piece):
-                del part[edges:]
-            del self._total[nodes:]
-            self.nodes = nodes
-            for name in self._passing:
-                del self.starts[name]
-            self._passing = []
+        if self._full:
+            self.nodes, self.edges = self._full
         elif self.edges > _MOST_EDGES:
-            self._full, self._passing = (self.edges, self.nodes), []
+            self._full = self.nodes, self.edges
         found = list(map(self.starts.get, chunks))
         if None in found:
-            new = {c for c, x in zip(chunks, found) if x is None}
-            plain = [c for c in new if len(c) <= _SHARED and self.v.singles.issuperset(c)]
-            self._add_all(sorted(plain))
-            for c in new.difference(plain):
-                self._add(c)
-            found = list(map(self.starts.__getitem__, chunks))
-        self.upto, self.p = np.frombuffer(self._upto), np.frombuffer(self._p)
-        self.target, self.piece = np.frombuffer(self._target, np.int64), np.frombuffer(self._piece, np.int32)
+            new = list({c for c, x in zip(chunks, found, strict=True) if x is None})
+            own = dict(zip(new, self._add(new), strict=True))
+            found = [own[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
+            if not self._full:
+                self.starts.update(own)
         return np.array(found, np.int64)
 
-    def _add_all(self, chunks: list[str]) -> None:
-        """Nodes of many short chunks of symbols in the vocabulary, as by _add, in array operations.
+    def _room(self, nodes: int, edges: int) -> None:
+        for name, n in (("first", nodes + 1), ("total", nodes), ("upto", edges), ("log_p", edges), ("target", edges), ("piece", edges)):
+            old = getattr(self, name)
+            if len(old) < n:
+                more = np.empty(n + n // 2, old.dtype)
+                more[: len(old)] = old
+                setattr(self, name, more)
+
+    def _add(self, chunks: list[str]) -> list[int]:
+        """The first nodes of new chunks, made with all nodes behind them.
 
         A node's sum over all ways to the end needs those of shorter ends only,
-        so the new nodes are gone through by length.
+        so nodes are numbered and gone through by length.
         """
-        starts, passing, base = self.starts, self._passing, self.nodes
-        number: list[int] = []  # of each symbol's node; -1 behind each chunk
-        places, lengths = [], []
-        at, offset = base, 0
-        for s in chunks:
-            n = len(s)
-            own = [-1] * (n + 1)
-            for i in range(n - 1, -1, -1):
-                end = s[i:]
-                known = starts.get(end)
-                if known is None:
-                    known = starts[end] = at
-                    at += 1
-                    places.append(offset + i)
-                    lengths.append(n - i)
-                    if passing is not None:
-                        passing.append(end)
-                own[i] = known
-            number += own
-            offset += n + 1
-        if at == base:
-            return
-        self.nodes = at
-        v = self.v
-        symbols = np.frombuffer(("\0".join(chunks) + "\0").encode("utf-32-le"), np.uint32)
-        sums = np.zeros(len(symbols) + 1, np.uint64)
-        up, down = v.powers(len(symbols))
-        np.cumsum(_hash(symbols.astype(np.uint64) + _SALT) * up, out=sums[1:])
-        place, length, numbers = np.array(places), np.array(lengths), np.array(number)
-        ahead = np.arange(1, v.longest + 1)
-        inside = ahead[None, :] <= length[:, None]
-        to = np.minimum(place[:, None] + ahead[None, :], len(symbols) - 1)
-        name = _hash((sums[to] - sums[place][:, None]) * down[place][:, None])
-        found = np.minimum(np.searchsorted(v.names, name), len(v.names) - 1)
-        hit = inside & (v.names[found] == name)
-        weight = np.where(hit, v.weights[found], 0.0)
-        following = numbers[to]
-        own = following >= base
-        old = np.frombuffer(self._total)
-        reached = np.where(following < 0, 1.0, old[np.where(own | (following < 0), 0, following)] if len(old) else 0.0)
-        del old
-        total = np.zeros(at - base)
-        order = np.argsort(length, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
-            f, o = following[rows], own[rows]
-            reached[rows] = np.where(o, total[np.where(o, f - base, 0)], reached[rows])
-            total[rows] = (weight[rows] * reached[rows]).sum(axis=1)
-        row, column = np.nonzero(hit)
-        p = weight[row, column] * reached[row, column] / total[row]
-        last = np.append(np.flatnonzero(np.diff(row)), len(row) - 1)
-        first = np.append(0, last[:-1] + 1)
-        upto = np.cumsum(p)
-        upto = base + row + (upto - (upto[first] - p[first])[row])
-        upto[last] = base + row[last] + 1.0
-        p[last[first == last]] = 1.0
-        for part, new in ((self._upto, upto), (self._p, p), (self._target, following[row, column].astype(np.int64)), (self._piece, v.ids[found[row, column]]), (self._total, total)):
-            part.frombytes(new.tobytes())
-
-    def _add(self, s: str) -> int:
-        """A node stands for the rest of a chunk from some symbol on, so chunks with equal ends share their nodes.
-
-        Nodes are numbered from the end, and edges lead to nodes that are there.
-        Chunks of more than _SHARED symbols share nothing: their sums over all
-        ways to the end are scaled to stay in range.
-        """
-        n, at = len(s), self.nodes
-        starts, totals, passing = self.starts, self._total, self._passing
-        pieces, trie = self.v.pieces, self.v.trie
-        upto, p, target, names = self._upto, self._p, self._target, self._piece
-        total, number = [1.0] * (n + 1), [-1] * (n + 1)
-        share = n <= _SHARED
-        first = n
-        if share:
-            while first and (known := starts.get(s[first - 1 :])) is not None:
-                first -= 1
-                number[first], total[first] = known, totals[known]
-        for i in range(first - 1, -1, -1):
-            weights, to, which = [], [], []
-            branch = trie
-            for j in range(i, n):
-                branch = branch.get(s[j])
-                if branch is None:
-                    break
-                if "" in branch:
-                    weight, name = branch[""]
-                    weights.append(weight * total[j + 1])
-                    to.append(number[j + 1])
-                    which.append(name)
-            if s[i] not in pieces:  # spelled in bytes, from the last one back
-                spelled = s[i].encode()
-                goal = number[i + 1]
-                for k in range(len(spelled) - 1, 0, -1):
-                    upto.append(at + 1.0)
-                    p.append(1.0)
-                    target.append(goal)
-                    names.append(self.v.byte_ids[spelled[k]])
-                    totals.append(0.0)
-                    goal = at
-                    at += 1
-                weights.append(self.v.byte_share ** len(spelled) * total[i + 1])
-                to.append(goal)
-                which.append(self.v.byte_ids[spelled[0]])
-            if len(weights) == 1:
-                sum_ = weights[0]
-                p.append(1.0)
-            else:
-                sum_ = sum(weights)
-                shares = [w / sum_ for w in weights]
-                p.extend(shares)
-                shares.pop()
-                upto.extend([at + x for x in accumulate(shares)])
-            upto.append(at + 1.0)
-            target.extend(to)
-            names.extend(which)
-            totals.append(sum_)
-            number[i], total[i] = at, sum_
-            if share:
-                starts[s[i:]] = at
-                if passing is not None:
-                    passing.append(s[i:])
-            elif sum_ < 1e-100:
-                for j in range(i, min(n, i + self.v.longest) + 1):
-                    total[j] *= 1e100
-            at += 1
-        self.nodes = at
-        if not share:
-            starts[s] = at - 1
-            if passing is not None:
-                passing.append(s)
-        return number[0]
+        v, base = self.v, self.nodes
+        symbols = _symbols("".join(chunks))
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        ends = np.cumsum(sizes)
+        place = np.arange(len(symbols))
+        length = np.repeat(ends, sizes) - place
+        sums, down = _sums(symbols), _powers(len(symbols))[1]
+        names, where, which = np.unique((sums[np.repeat(ends, sizes)] - sums[:-1]) * down[: len(symbols)], return_index=True, return_inverse=True)
+        at = np.searchsorted(self._names, names)
+        known = np.zeros(len(names), bool)
+        if len(self._names):
+            at_ = np.minimum(at, len(self._names) - 1)
+            known = self._names[at_] == names
+        number = np.empty(len(names), np.int64)
+        number[known] = self._numbers[at[known]]
+        new = np.flatnonzero(~known)
+        new = new[np.argsort(length[where[new]], kind="stable")]
+        number[new] = base + np.arange(len(new))
+        numbers = number[which]
+        if not self._full:
+            by_name = np.sort(new)
+            self._names = np.insert(self._names, at[by_name], names[by_name])
+            self._numbers = np.insert(self._numbers, at[by_name], number[by_name])
+        place, length = where[new], length[where[new]]
+        # All stretches that a piece may cover, long ones first.
+        many = np.minimum(length, v.longest)
+        row = np.repeat(np.arange(len(new)), many)
+        ahead = np.cumsum(many)[row] - np.arange(len(row))
+        begin = place[row]
+        found = v.find((sums[begin + ahead] - sums[begin]) * down[begin])
+        hit = np.flatnonzero(found >= 0)
+        row, ahead, found = row[hit], ahead[hit], found[hit]
+        weight, piece = v.weights[found], v.ids[found]
+        strange = np.flatnonzero(~v.singles[symbols[place]])
+        if len(strange):
+            code = symbols[place[strange]].astype(np.int64)
+            spelled = 1 + (code >= 0x80) + (code >= 0x800).astype(np.int64) + (code >= 0x10000)
+            row, ahead = np.concatenate([row, strange]), np.concatenate([ahead, np.ones(len(strange), np.int64)])
+            weight, piece = np.concatenate([weight, spelled * math.log(v.byte_share)]), np.concatenate([piece, -1 - code])
+            order = np.argsort(row, kind="stable")
+            row, ahead, weight, piece = row[order], ahead[order], weight[order], piece[order]
+        n, start = len(row), self.edges
+        self._room(base + len(new), start + n)
+        first = np.searchsorted(row, np.arange(len(new) + 1))
+        target = np.where(ahead == length[row], -1, numbers[np.minimum(place[row] + ahead, len(symbols) - 1)])
+        total, log_p = self.total, self.log_p[start : start + n]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(length)) + 1, [len(new)]]).tolist() if len(new) else [0]
+        for a, b in zip(cuts, cuts[1:]):
+            e, f = first[a], first[b]
+            reached = weight[e:f] + np.where(target[e:f] < 0, 0.0, total[target[e:f]])
+            heads, edges = first[a:b] - e, np.diff(first[a : b + 1])
+            most = np.maximum.reduceat(reached, heads)
+            sum_ = most + np.log(np.add.reduceat(np.exp(reached - np.repeat(most, edges)), heads))
+            total[base + a : base + b] = sum_
+            log_p[e:f] = reached - np.repeat(sum_, edges)
+        upto, edges = np.exp(log_p), np.diff(first)
+        rows, k = np.flatnonzero(edges > 1), 1
+        while len(rows):
+            upto[first[rows] + k] += upto[first[rows] + k - 1]
+            k += 1
+            rows = rows[edges[rows] > k]
+        upto[first[1:] - 1] = 2.0  # the last edge takes what is left
+        self.upto[start : start + n], self.target[start : start + n], self.piece[start : start + n] = upto, target, piece
+        self.first[base : base + len(new) + 1] = start + first
+        self.nodes, self.edges = base + len(new), start + n
+        return numbers[ends - sizes].tolist()
 
     def siblings(self, edge: int) -> range:
         """All edges of this edge's node."""
-        node = math.ceil(self.upto[edge]) - 1
-        return range(int(np.searchsorted(self.upto, node, side="right")), int(np.searchsorted(self.upto, node + 1, side="left")) + 1)
+        node = int(np.searchsorted(self.first[: self.nodes + 1], edge, side="right")) - 1
+        return range(int(self.first[node]), int(self.first[node + 1]))
 
     def walk(self, starts: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number of the start, edge) of each step from these nodes to their lattices' ends, in order.
 
         seeds: a number for each start, changed at each step.
         """
-        chunks, edges = [], []
+        taken, steps = [], np.zeros(len(starts), np.int64)
         at, now = np.arange(len(starts)), starts
         while len(at):
-            e = np.searchsorted(self.upto, now + _uniform(seeds), side="right")
-            chunks.append(at)
-            edges.append(e)
-            now = self.target[e]
+            draw, edge = _uniform(seeds), self.first[now]
+            beyond = np.flatnonzero(self.upto[edge] <= draw)
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[self.upto[edge[beyond]] <= draw[beyond]]
+            taken.append((at, edge))
+            steps[at] += 1
+            now = self.target[edge]
             going = np.flatnonzero(now >= 0)
             at, now, seeds = at[going], now[going], seeds[going] + _STEP
-        if not chunks:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        chunk, edge = np.concatenate(chunks), np.concatenate(edges)
-        order = np.argsort(chunk, kind="stable")
-        return chunk[order], edge[order]
+        begins = np.cumsum(steps) - steps
+        out = np.empty(int(steps.sum()), np.int64)
+        for k, (at, edge) in enumerate(taken):
+            out[begins[at] + k] = edge
+        return np.repeat(np.arange(len(starts)), steps), out
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -348,15 +333,15 @@ class _Paths:
         self.texts, self.chunk, self.edge, self.value = texts, chunk, edge, value
         self.ends = np.searchsorted(text, np.arange(len(texts)), side="right")
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
-        p = lattices.p[edge]
-        upto = np.cumsum(np.log(p))
-        total = np.concatenate([[0.0], upto])
-        base = total[self.starts]
-        self.log_p = total[self.ends] - base
-        self.before = total[:-1] - base[text]
+        log_p = lattices.log_p[edge]
+        self.before, self.log_p = np.zeros(len(edge)), np.zeros(len(texts))
+        for i, (a, b) in enumerate(zip(self.starts.tolist(), self.ends.tolist(), strict=True)):
+            if b > a:  # summed text by text, so that batches don't matter
+                sums = np.cumsum(log_p[a:b])
+                self.before[a + 1 : b], self.log_p[i] = sums[:-1], sums[-1]
         self.excluded: dict[int, list[int]] = {}
         with np.errstate(divide="ignore"):
-            mass = self.before + np.log1p(-np.minimum(p, 1.0))
+            mass = self.before + np.log(-np.expm1(np.minimum(log_p, 0.0)))
         place = np.arange(len(edge)) - self.starts[text]
         self.open = _truncated(mass, value[text], seeds[text] + place.astype(np.uint64) * _SALT)
         self.open[place < first[text]] = -np.inf
@@ -411,12 +396,12 @@ def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int],
             at = int(path.at[i])
             taken = path.excluded.setdefault(at, [int(path.edge[at])])
             left = [e for e in lattices.siblings(taken[0]) if e not in taken]
-            shares = list(accumulate(lattices.p[left].tolist()))
+            shares = list(accumulate(np.exp(lattices.log_p[left]).tolist()))
             u = _uniform(seeds(4 * turn)[text : text + 1] + np.uint64(len(taken)))[0]
             k = min(len(left) - 1, bisect.bisect_right(shares, u * shares[-1]))
             taken.append(left[k])
             # What is still open there, below the value just used.
-            rest = shares[-1] - float(lattices.p[left[k]]) if len(left) > 1 else 0.0
+            rest = shares[-1] - math.exp(lattices.log_p[left[k]]) if len(left) > 1 else 0.0
             again = -math.inf
             if rest > 0:
                 again = float(_truncated(np.array([path.before[at] + math.log(rest)]), np.array([v]), seeds(4 * turn + 1)[text : text + 1] + np.uint64(len(taken)))[0])
@@ -452,7 +437,7 @@ def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int],
             log_p = float(path.log_p[i])
             threshold = last[text]
             included = 1.0 if not math.isfinite(threshold) else -math.expm1(-math.exp(min(700.0, log_p - threshold)))
-            got.append((lattices.piece[path.edge[path.starts[i] : path.ends[i]]], log_p, included))
+            got.append((lattices.v.spelled(lattices.piece[path.edge[path.starts[i] : path.ends[i]]]), log_p, included))
         out.append(got)
     return out
 
@@ -473,14 +458,27 @@ def _lattices(vocabulary: Vocabulary) -> Lattices:
     return _kept[0][1]
 
 
+def _parts(b: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
+    """Slices of at most _TEXTS rows and, but for single texts, _SYMBOLS bytes."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(b.column(1)), 0).to_pylist()
+    at = many = 0
+    for i, n in enumerate(sizes):
+        if i > at and (i - at == _TEXTS or many + n > _SYMBOLS):
+            yield b.slice(at, i - at)
+            at, many = i, 0
+        many += n
+    if b.num_rows:
+        yield b.slice(at)
+
+
 def _encoded(vocabulary: Vocabulary, samples: int):
     fields = [("doc_id", pa.int64()), ("sample", pa.int32()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("inclusion", pa.float64()), ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))]
 
     def run(batches):
         lattices = _lattices(vocabulary)
         for b in batches:
-            for at in range(0, b.num_rows, 50):
-                part, rows, all_ids = b.slice(at, 50), [], []
+            for part in _parts(b):
+                rows, all_ids = [], []
                 doc_ids, texts = part.column(0).to_pylist(), [x or "" for x in part.column(1).to_pylist()]
                 made = sample_batch(lattices, texts, [-1 if x is None else x for x in doc_ids], samples)
                 for doc_id, text, got in zip(doc_ids, texts, made, strict=True):

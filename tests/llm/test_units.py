@@ -142,6 +142,18 @@ def test_lattices_that_pass_give_the_same_samples(vocabulary, monkeypatch):
     assert [[x[0].tolist() for x in a] for a in got] == [[x[0].tolist() for x in a] for a in want]
 
 
+def test_samples_are_the_same_to_the_last_bit_in_any_batch(vocabulary):
+    rng = random.Random(13)
+    texts = ["".join(rng.choices("theab \né日", k=rng.randint(0, 200))) for _ in range(60)]
+    keys = list(range(60))
+    want = segment.sample_batch(segment.Lattices(vocabulary), texts, keys)
+    lattices = segment.Lattices(vocabulary)
+    one = [segment.sample(lattices, t, k) for t, k in zip(texts, keys, strict=True)]
+    back = [x for at in range(0, 60, 7) for x in segment.sample_batch(lattices, texts[::-1][at : at + 7], keys[::-1][at : at + 7])][::-1]
+    plain = lambda all_: [[(ids.tolist(), p, q) for ids, p, q in x] for x in all_]
+    assert plain(want) == plain(one) == plain(back)
+
+
 def test_multikey_order_sorts_bytes():
     rng = random.Random(4)
     rows = [bytes(rng.choice(b"ab") for _ in range(24)) for _ in range(300)] + [b"a" * 24] * 20
