@@ -366,14 +366,14 @@ def target_rows(spark, sf_dir):
 
 @_query(f"""WITH RECURSIVE {HIERARCHY}, {NATION_GRID}, tcells AS (SELECT * FROM typed), {_COVERAGE_SQL},
 known AS (SELECT c.*, d.* FROM cov c JOIN depth d ON d.cls = CAST(c.type[2:] AS BIGINT)),
-perfect AS (SELECT table_id, col_id, coalesce(arg_max(type, (n_ancestors, depth, cls)) FILTER (coverage >= 0.1), '') AS p FROM known GROUP BY 1, 2)
+perfect AS (SELECT table_id, col_id, coalesce(arg_max(type, (n_ancestors, depth, cls)) FILTER (n_rows <> 2 AND coverage >= 0.1::DOUBLE + (1.0::DOUBLE - 0.1::DOUBLE) / CAST(n_rows - 2 AS DOUBLE)), '') AS p FROM known GROUP BY 1, 2)
 SELECT table_id, col_id AS col, CASE WHEN p = '' THEN 'UNKNOWN' ELSE 'http://www.wikidata.org/entity/' || p END AS answer FROM perfect""")
 def cta_rows(spark, sf_dir):
     from dataclasses import replace
 
     depth = ontology.depths(ontology.closure(G.hierarchy(spark, sf_dir)))
     known, _ = coltypes.split_known(coltypes.coverage(_typed(spark, sf_dir)), depth)
-    # A base of 0.1 with hundreds of rows: the threshold is 0.1 and a little, and no coverage lies between.
+    # A base of 0.1: the threshold is 0.1 and more the fewer rows a table has.
     return export.cta_rows(coltypes.perfect_types(known, replace(DEFAULT, coverage_base=0.1)))
 
 

@@ -37,11 +37,25 @@ def test_cell_types(spark, text, kind):
 def test_tokens():
     assert tokens.tokenize("Don't mail x@y.org at 10 am, it's 5$ #tag!") == [
         ("Don", "word"), ("'", "punctuation"), ("t", "word"), ("mail", "word"), ("x@y.org", "email"), ("at", "word"), ("10 am", "time"), (",", "punctuation"),
-        ("it", "word"), ("is", "word"), ("5", "number"), ("$", "currency"), ("#tag", "hashtag"), ("!", "punctuation"),
+        ("it", "word"), ("'s", "word"), ("5", "number"), ("$", "currency"), ("#tag", "hash_tag"), ("!", "punctuation"),
     ]
     assert tokens.tokenize("dog's dogs' \U0001f600") == [("dog", "word"), ("'s", "word"), ("dogs", "word"), ("'", "word"), ("\U0001f600", "alien")]
 
 
+@pytest.mark.parametrize(
+    "word, parts",
+    [("can't", "ca n't"), ("won't", "wo n't"), ("i'd've", "i 'd 've"), ("dog's", "dog 's"), ("dogs'", "dogs '"), ("o'clock", "o ' clock"), ("café's", "café ' s"), ("plain", "plain"), ("Can't", "Can ' t")],
+)
+def test_apostrophes(word, parts):
+    assert [v for v, _ in tokens.split_word(word)] == parts.split()
+    assert [v for v, _ in tokens.tokenize(word)] == parts.split()
+
+
+def test_rendered_tokens(spark):
+    df = tokens.with_tokens(spark.createDataFrame([("Paris, 3",)], "t string"), "t")
+    assert df.select(tokens.rendered(F.col("tokens")).alias("r")).first().r == ["Paris[word]", ",[punctuation]", "3[number]"]
+
+
 def test_token_column_and_frequent_tag(spark):
     df = tokens.with_tokens(spark.createDataFrame([("a b 1",), (None,)], "t string"), "t")
     rows = df.withColumn("tag", tokens.most_frequent_tag(F.col("tokens"))).collect()
