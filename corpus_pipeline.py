@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.llm import lines, mixing, near_dup, segment, toxicity
 from gridloom.llm.common import stored, table
@@ -22,8 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates are cut out of the texts; n_chars follows the text."""
-    out = lines.without_recurring_lines(docs, most=None).drop("n_lines")
-    return out.selectExpr(*[c if c != "n_chars" else "CASE WHEN n_dropped > 0 THEN CAST(length(text) AS BIGINT) ELSE n_chars END AS n_chars" for c in docs.columns])
+    out = lines.cut_rows(docs, by_group=True)
+    made = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
+    return out.select(*[made[c].alias(c) if c in made else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,20 +1,17 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line's tokens lead it down a tree: first by their number, then by the first
-DEPTH tokens, in which a token with a digit counts as a variable. In a leaf, a
-token is fixed if it stands at its place in the lines of at least min_docs
-different texts, and a variable field otherwise. A line's template is its tokens
-with the variables left open. A template recurs if it stands in at least
-min_docs different texts and no more than a share of it is variable; lines with
-a recurring template are dropped, in every document.
-
-Exact copies of a document are one text, so copies alone make nothing recur. A
-document which would lose more than ``most`` of its characters keeps all of
-them: it is a copy as a whole, or made of such lines only, and is the business
-of document dedup. So the query's SQL has it.
-
-With ``most=None`` lines go whatever share of the text they are, and copies are
-told apart by what they share: texts whose recurring lines are half of them or
+DEPTH tokens (all of them, if there are fewer), in which a token with a digit
+counts as a variable. In a leaf, a token is fixed if it stands at its place in
+the lines of at least min_docs different texts, and a variable field otherwise.
+A line's template is its tokens with the variables left open; one field may be
+open, or a share of ``variable``, but never all. A template recurs if it stands
+in at least min_docs different texts; lines with a recurring template are
+dropped in every document, whatever share of it they are. Exact copies of a
+document are one text, so they alone make nothing recur.
+
+With ``by_group=True``, as the pipeline has it before its near duplicates go,
+near copies count as one as well: texts whose recurring lines are half of them or
 more are linked if more than ALIKE of their characters are in common templates,
 and a template has to stand in min_docs groups of linked texts instead. Links
 are sought under SEEDS weighted minima of a text's templates, each against two
@@ -26,8 +23,8 @@ Everything is counting by key with partial sums, and a leaf that holds a third
 of all lines is never gathered anywhere. Leaves with too few texts go before
 tokens are looked at.
 
-A null text stays null; lines of fewer than DEPTH tokens have no template and
-stay. Repeated rows are treated alike. Other columns are kept, n_lines and
+A null text stays null; lines without tokens have no template and stay. Repeated
+rows are treated alike. Other columns are kept, whatever their names; n_lines and
 n_dropped are added and replace columns of these names.
 """
 
@@ -42,10 +39,9 @@ from .near_dup import components
 DEPTH = 3
 MIN_DOCS = 10
 VARIABLE = 0.3
-MOST = 0.5
 ALIKE, SEEDS = 0.5, 6
 _OPEN = "<*>"
-#: Up to so many leaves (a number each) and texts (a number and some places) are broadcast; more are shuffled.
+#: Up to so many leaves or lines (numbers) and texts (a number and some places) are broadcast; more are shuffled.
 MOST_LEAVES, MOST_TEXTS = 500_000, 200_000
 
 
@@ -63,7 +59,7 @@ def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     tokens = _tokens(F.col("line"))
     lead = F.transform(F.slice(tokens, 1, depth), _masked)
     # A leaf is named by a hash of the tree's path.
-    return lines.withColumn("leaf", F.xxhash64(F.size(tokens), lead)).filter(F.size(tokens) >= depth)
+    return lines.filter(F.col("line").rlike(r"\S")).withColumn("leaf", F.xxhash64(F.size(tokens), lead))
 
 
 def _recurring(lines: DataFrame, by: list[str], min_docs: int) -> DataFrame:
@@ -85,8 +81,8 @@ def templates(lines: DataFrame, min_docs: int = MIN_DOCS, variable: float = VARI
     apart = full.groupBy("id").agg(F.first("leaf").alias("leaf"), F.first("line").alias("line"))
     apart = apart.withColumn("n", F.size(_tokens(F.col("line")))).select("id", "n", "leaf", placed).select("id", "n", "leaf", name)
     parts = apart.join(fixed, "name").groupBy("id").agg(F.first("n").alias("n"), F.first("leaf").alias("leaf"), F.sort_array(F.collect_list("name")).alias("names"))
-    few = F.col("n") - F.size("names") <= variable * F.col("n")
-    parts = parts.filter(few).select("id", F.xxhash64("leaf", "names").alias("template"))
+    few = F.col("n") - F.size("names") <= F.greatest(F.lit(1.0), variable * F.col("n"))
+    parts = small_side(stored(parts.filter(few).select("id", F.xxhash64("leaf", "names").alias("template"))), MOST_LEAVES)
     with_template = stored(full.select("key", "place", "id", F.length("line").alias("chars")).join(parts, "id").select("key", "place", "template", "chars", "id"))
     found = _recurring(with_template, ["template"], min_docs)
     example = with_template.join(found.select("template"), "template", "left_semi").groupBy("template").agg(F.min("id").alias("id"))
@@ -133,26 +129,28 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH,
     return gone.groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
-def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE, most: float | None = MOST) -> DataFrame:
-    """docs (doc_id, text, ...) with recurring lines taken out of text; + n_lines, n_dropped."""
-    gone = small_side(stored(dropped_lines(docs, min_docs, depth, variable, most is None)), MOST_TEXTS)
-    all_ = docs.drop("n_lines", "n_dropped").withColumn("_key", F.xxhash64("text"))
-    all_ = all_.join(gone.withColumnsRenamed({"key": "_key", "places": "_places"}), "_key", "left")
-    lines = F.split("text", "\n")
+def cut_rows(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE, by_group: bool = False) -> DataFrame:
+    """docs (text, ...) -> row (all columns of docs), text (without recurring lines), n_lines, n_dropped."""
+    gone = small_side(stored(dropped_lines(docs, min_docs, depth, variable, by_group)), MOST_TEXTS)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("row"), F.xxhash64("text").alias("key")).join(gone, "key", "left")
+    lines = F.split("row.text", "\n")
     # What stays are the stretches between dropped lines.
-    ends = F.concat(F.array(F.lit(-1)), F.col("_places"), F.array(F.size(lines)))
-    stays = F.flatten(F.transform(F.sequence(F.lit(1), F.size("_places") + 1), lambda i: F.slice(lines, F.element_at(ends, i) + 2, F.element_at(ends, i + 1) - F.element_at(ends, i) - 1)))
-    all_ = all_.withColumn("_left", F.when(F.col("_places").isNotNull(), F.array_join(stays, "\n")))
-    cut = F.col("_left").isNotNull()
-    if most is not None:
-        cut &= F.length("_left") >= (1 - most) * F.length("text")
-    return all_.withColumns(
-        {
-            "text": F.when(cut, F.col("_left")).otherwise(F.col("text")),
-            "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
-            "n_dropped": F.when(cut, F.size("_places")).otherwise(0).cast("long"),
-        }
-    ).drop("_key", "_places", "_left")
+    ends = F.concat(F.array(F.lit(-1)), F.col("places"), F.array(F.size(lines)))
+    stays = F.flatten(F.transform(F.sequence(F.lit(1), F.size("places") + 1), lambda i: F.slice(lines, F.element_at(ends, i) + 2, F.element_at(ends, i + 1) - F.element_at(ends, i) - 1)))
+    cut = F.col("places").isNotNull() & F.col("row.text").isNotNull()
+    return rows.select(
+        "row",
+        F.when(cut, F.array_join(stays, "\n")).otherwise(F.col("row.text")).alias("text"),
+        F.when(F.col("row.text").isNotNull(), F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
+        F.when(cut, F.size("places")).otherwise(0).cast("long").alias("n_dropped"),
+    )
+
+
+def without_recurring_lines(docs: DataFrame, **settings) -> DataFrame:
+    """docs (text, ...) with recurring lines taken out of text; + n_lines, n_dropped."""
+    kept = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return cut_rows(docs, **settings).select(*kept, "n_lines", "n_dropped")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
@@ -161,9 +159,9 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 
 def op10_all(spark, sf_dir: str) -> DataFrame:
-    """As the pipeline does it: whatever share of a text recurs, with copies counted as one. SQL doesn't express the groups."""
+    """As the pipeline does it, with near copies counted as one. SQL doesn't express the groups."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return without_recurring_lines(docs, most=None)
+    return without_recurring_lines(docs, by_group=True)
 
 
 #: ``{rows}`` stands for a query with doc_id and text and any further columns.
@@ -176,7 +174,7 @@ ls AS (
   SELECT *, regexp_split_to_array(trim(line, ' '), '\s+') AS tokens FROM ls
 ), lf AS (
   SELECT *, len(tokens) AS n, list_transform(tokens[1:{DEPTH}], lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS lead_tokens
-  FROM tk WHERE len(tokens) >= {DEPTH}
+  FROM tk WHERE regexp_matches(line, '\S')
 ), leaves AS (
   SELECT n, lead_tokens FROM lf GROUP BY n, lead_tokens HAVING count(DISTINCT text) >= {MIN_DOCS}
 ), fl AS (
@@ -190,7 +188,7 @@ ls AS (
   FROM ex e LEFT JOIN fixed f ON e.n = f.n AND e.lead_tokens = f.lead_tokens AND e.pos = f.pos AND e.token = f.token GROUP BY e.line_id
 ), ft AS (
   SELECT fl.text, fl.place, fl.line, fl.n, fl.lead_tokens, tp.template FROM fl JOIN tp USING (line_id)
-  WHERE len(list_filter(tp.template, lambda x: x = '<*>')) <= {VARIABLE} * fl.n
+  WHERE len(list_filter(tp.template, lambda x: x = '<*>')) <= greatest(1, {VARIABLE} * fl.n) AND len(list_filter(tp.template, lambda x: x <> '<*>')) > 0
 ), rec AS (
   SELECT n, lead_tokens, template FROM ft GROUP BY n, lead_tokens, template HAVING count(DISTINCT text) >= {MIN_DOCS}
 ), gone AS (
@@ -200,7 +198,7 @@ ls AS (
     count(g.place) AS dropped, count(*) AS n_lines
   FROM ls LEFT JOIN gone g ON g.text = ls.text AND g.place = ls.place GROUP BY ls.text
 ), cut AS (
-  SELECT *, dropped > 0 AND length(left_text) >= (1 - {MOST}) * length(text) AS is_cut FROM lefts
+  SELECT *, dropped > 0 AS is_cut FROM lefts
 )
 """
 

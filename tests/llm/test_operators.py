@@ -117,24 +117,28 @@ def test_recurring_templates_are_dropped(spark):
         assert got[i].text == want and got[i].n_dropped == (i < 15)
 
 
-def test_documents_made_of_recurring_lines_stay_whole(spark):
-    rows = [(i, f"the one line that all of these share\nanother shared line of them all\n{i}", "", "", 0) for i in range(20)]
-    assert all(r.n_dropped == 0 for r in lines.without_recurring_lines(docs(spark, rows)).collect())
+def test_recurring_lines_go_whatever_their_share_and_length(spark):
+    line = "All rights to this page are with its authors"
+    rows = [(i, f"{line}\nown{chr(97 + i)} word{chr(97 + i)}", "", "", 0) for i in range(26)]
+    rows += [(100 + i, f"Read more\nPage {i}\n\n{line}\n-", "", "", 0) for i in range(12)]
+    got = {r.doc_id: r for r in lines.without_recurring_lines(docs(spark, rows)).collect()}
+    assert all(got[i].text == t.split("\n")[1] and got[i].n_dropped == 1 for i, t, *_ in rows[:26])
+    assert all(got[100 + i].text == "" and got[100 + i].n_dropped == 4 and got[100 + i].n_lines == 5 for i in range(12))
 
 
-def test_recurring_lines_go_whatever_their_share_and_copies_count_once(spark):
+def test_recurring_lines_go_and_near_copies_count_once(spark):
     rng = random.Random(4)
     own = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
     common = "All of the articles of this site are free to read and to share with others"
     rows = [(i, f"{own(40)}\n{common}", "", "", 0) for i in range(15)] + [(50 + i, f"{common}\n{own(2)}", "", "", 0) for i in range(5)]
     base = [own(12) for _ in range(8)]  # near copies of one text, each with a line of its own
     rows += [(100 + i, "\n".join([*base[: i % 8], own(12), *base[i % 8 + 1 :], common]), "", "", 0) for i in range(24)]
-    got = {r.doc_id: r for r in lines.without_recurring_lines(docs(spark, rows), most=None).collect()}
+    got = {r.doc_id: r for r in lines.without_recurring_lines(docs(spark, rows), by_group=True).collect()}
     assert len(got) == len(rows)
     for i, text, *_ in rows:
         assert got[i].text == "\n".join(x for x in text.split("\n") if x != common) and got[i].n_dropped == 1
     whole = [(i, f"the one line that all of these share\nanother shared line of them all\n{i}", "", "", 0) for i in range(20)]
-    assert all(r.n_dropped == 0 for r in lines.without_recurring_lines(docs(spark, whole), most=None).collect())
+    assert all(r.n_dropped == 0 for r in lines.without_recurring_lines(docs(spark, whole), by_group=True).collect())
 
 
 def test_line_dedup_odd_rows(spark):
