@@ -70,7 +70,7 @@ def remove_extra_spaces(s: Column) -> Column:
 
 
 def remove_stop_words(words: Column) -> Column:
-    return F.array_except(F.array(), F.array()) if words is None else F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
+    return F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
 
 
 def keep_alphanumerics(s: Column) -> Column:
@@ -82,19 +82,37 @@ def is_blank(s: Column) -> Column:
     return F.coalesce(s, F.lit("")).isin("", " ", "-", "None")
 
 
-# Semantic data types with their XSD types.
-XSD = {
-    "string": "GEOCOORD ADDRESS HEXCOLOR IMAGE CREDITCARD EMAIL IP ISBN ISO8601 ID CURRENCY DESCRIPTION IATA".split(),
-    "anyURI": ["URL"],
-    "float": ["NUMERIC"],
-    "integer": ["NUMERIC"],
-    "double": ["NUMERIC"],
-    "boolean": ["BOOLEAN"],
-    "date": ["DATE"],
+# Data types of cells with the names of their XSD types.
+XSD: dict[str, list[str]] = {
+    "geo_coordinates": ["string"],
+    "address": ["string"],
+    "hex_color": ["string"],
+    "url": ["anyURI"],
+    "numeric": ["float", "integer", "double"],
+    "image": ["string"],
+    "credit_card": ["string"],
+    "email": ["string"],
+    "ip": ["string"],
+    "isbn": ["string"],
+    "iso8601": ["string"],
+    "boolean": ["boolean"],
+    "date": ["date"],
+    "id": ["string"],
+    "currency": ["string"],
+    "description": ["string"],
+    "iata": ["string"],
 }
+XSD_LABELS = ("string", "float", "integer", "double", "date", "boolean", "anyURI")
 XSD_ROOT = "http://www.w3.org/2001/XMLSchema#"
 
 
-def xsd_rows() -> list[tuple[str, str, str]]:
-    """(datatype, label, uri) for each type of each data type."""
-    return sorted((d, f"xsd:{x}", XSD_ROOT + x) for x, all_ in XSD.items() for d in all_)
+def xsd_types(datatype: Column) -> Column:
+    """Labels of a data type's XSD types; of any other the string's."""
+    found = F.create_map(*[F.lit(x) for k, v in XSD.items() for x in (k, ",".join(f"xsd:{t}" for t in v))])
+    return F.split(F.coalesce(F.try_element_at(found, datatype), F.lit("xsd:string")), ",")
+
+
+def xsd_uri(label: Column) -> Column:
+    """The address of an XSD label, null for what is none."""
+    name = F.regexp_extract(label, "^xsd:(.*)$", 1)
+    return F.when(name.isin(*XSD_LABELS), F.concat(F.lit(XSD_ROOT), name))

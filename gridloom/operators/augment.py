@@ -70,8 +70,20 @@ def change_counts(changed: DataFrame) -> DataFrame:
 
 
 def augmented(cells: DataFrame, entity_columns: DataFrame, number_columns: DataFrame, acronyms: DataFrame, kg_alias: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """All four in order: acronyms, typos, numbers, aliases."""
-    out = add_acronyms(cells, entity_columns, acronyms, config).drop("changed")
-    out = add_typos(out, entity_columns, config).drop("changed")
-    out = approximate_numbers(out, number_columns, config).drop("changed")
-    return add_aliases(out, entity_columns, kg_alias, config).drop("changed")
+    """All four in order: acronyms, typos, numbers, aliases, those that are switched on; + acro, typos, approx, alias: what changed a cell."""
+    steps = (
+        ("acro", config.acronyms, lambda x: add_acronyms(x, entity_columns, acronyms, config)),
+        ("typos", config.typos, lambda x: add_typos(x, entity_columns, config)),
+        ("approx", config.numbers, lambda x: approximate_numbers(x, number_columns, config)),
+        ("alias", config.aliases, lambda x: add_aliases(x, entity_columns, kg_alias, config)),
+    )
+    for name, on, step in steps:
+        cells = step(cells).withColumnRenamed("changed", name) if on else cells.withColumn(name, F.lit(False))
+    return cells
+
+
+def all_change_counts(changed: DataFrame) -> DataFrame:
+    """table_id, and of each kind the cells changed and the columns touched."""
+    kinds = (("acro", "acro_added", "cols_with_acronyms"), ("typos", "typos_added", "cols_with_typos"), ("approx", "approx_added", "cols_with_approx"), ("alias", "alias_added", "cols_with_aliases"))
+    counts = [x for k, n, c in kinds for x in (F.count_if(k).alias(n), F.count_distinct(F.when(F.col(k), F.col("col_id"))).alias(c))]
+    return changed.groupBy("table_id").agg(*counts)

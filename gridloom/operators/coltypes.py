@@ -18,7 +18,13 @@ def coverage(cells: DataFrame) -> DataFrame:
 def split_known(covered: DataFrame, depth: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(types that are classes with a superclass, with depth and n_ancestors; the distinct others)."""
     keyed = covered.withColumn("cls", F.substring(F.col("type"), F.lit(2), F.length("type")).try_cast("bigint"))
-    return keyed.join(depth, "cls"), keyed.join(depth, "cls", "left_anti").select("type").distinct()
+    return keyed.join(depth, "cls"), split_unknown(covered, depth).select("type").distinct()
+
+
+def split_unknown(covered: DataFrame, depth: DataFrame) -> DataFrame:
+    """The coverage of types that aren't classes with a superclass."""
+    keyed = covered.withColumn("cls", F.substring(F.col("type"), F.lit(2), F.length("type")).try_cast("bigint"))
+    return keyed.join(depth.select("cls"), "cls", "left_anti").drop("cls")
 
 
 def threshold(n_rows, config: Config = DEFAULT):

@@ -148,3 +148,10 @@ def misshapen(cells: DataFrame) -> DataFrame:
     """Tables with missing cells: fewer than rows times columns."""
     size = (F.max("row_id") + 1) * (F.max("col_id") + 1)
     return cells.groupBy("table_id").agg(size.alias("expected"), F.count(F.lit(1)).alias("found")).filter("expected <> found")
+
+
+def export_ready(cells: DataFrame, least: int = 3) -> DataFrame:
+    """Cells for the export: without rows that show an id, without misshapen tables, of tables with enough entities in a body column."""
+    out = reindexed(cells, rows_with_ids(cells), "row_id")
+    out = out.join(misshapen(out).select("table_id"), "table_id", "left_anti")
+    return out.join(link_gate(out, least, "entity", True).select("table_id"), "table_id", "left_semi")

@@ -2,34 +2,65 @@
 
 from __future__ import annotations
 
-import tempfile
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.sources.storage import stored
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
-    return df.checkpoint()
+#: So many edges (two numbers each) are sent to all tasks; more are joined turn by turn.
+MOST_EDGES = 2_000_000
 
 
-def closure(edges: DataFrame) -> DataFrame:
-    """(sub, sup) edges -> (sub, sup, level): every ancestor with its least number of steps.
+def closure(edges: DataFrame, most_edges: int = MOST_EDGES) -> DataFrame:
+    """(sub, sup) edges of numbers -> (sub, sup, level): every ancestor with its least number of steps.
 
-    Each turn extends only the pairs found last; the seen ones are a union of the
-    checkpointed levels, so lineage stays short. Ends on cycles too: in one, a
-    class is its own ancestor.
+    Ends on cycles too: in one, a class is its own ancestor. A hierarchy of at
+    most ``most_edges`` goes to every task, and each climbs from its own classes
+    without a shuffle; the hierarchy of a knowledge base has a few million edges
+    at most. A larger one is joined level by level.
     """
-    edges = _checkpointed(edges.select("sub", "sup").distinct())
+    edges = stored(edges.select(F.col("sub").cast("long").alias("sub"), F.col("sup").cast("long").alias("sup")).distinct())
+    if edges.count() > most_edges:
+        return _joined_closure(edges)
+    all_ = edges.orderBy("sub", "sup").toArrow()
+    shared = edges.sparkSession.sparkContext.broadcast((all_["sub"].to_numpy(), all_["sup"].to_numpy()))
+    return edges.select("sub").distinct().mapInArrow(_climbing(shared), "sub long, sup long, level int")
+
+
+def _climbing(shared):
+    def run(batches):
+        below, above = shared.value
+        for b in batches:
+            for at in range(0, b.num_rows, 5000):
+                sub = sup = b.column(0).slice(at, 5000).to_numpy()
+                seen, level = np.empty((0, 2), np.int64), 0
+                while len(sub):
+                    level += 1
+                    first, last = np.searchsorted(below, sup, "left"), np.searchsorted(below, sup, "right")
+                    n = last - first
+                    places = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+                    found = np.unique(np.stack([np.repeat(sub, n), above[places]], axis=1), axis=0)
+                    both = np.concatenate([seen, found])
+                    _, where = np.unique(both, axis=0, return_index=True)  # of equals the earlier one
+                    new = np.sort(where[where >= len(seen)])
+                    sub, sup = both[new, 0], both[new, 1]
+                    seen = np.concatenate([seen, both[new]])
+                    yield pa.RecordBatch.from_arrays([pa.array(sub), pa.array(sup), pa.array(np.full(len(sub), level, np.int32))], ["sub", "sup", "level"])
+
+    return run
+
+
+def _joined_closure(edges: DataFrame) -> DataFrame:
+    """Each turn extends only the pairs found last; the seen ones are a union of the stored levels, so lineage stays short."""
     levels = [edges.withColumn("level", F.lit(1))]
     while True:
         seen = levels[0]
         for x in levels[1:]:
             seen = seen.unionByName(x)
         step = levels[-1].select("sub", F.col("sup").alias("via")).join(edges.select(F.col("sub").alias("via"), "sup"), "via").select("sub", "sup").distinct()
-        step = _checkpointed(step.join(seen.select("sub", "sup"), ["sub", "sup"], "left_anti").withColumn("level", F.lit(len(levels) + 1)))
+        step = stored(step.join(seen.select("sub", "sup"), ["sub", "sup"], "left_anti").withColumn("level", F.lit(len(levels) + 1)))
         if step.isEmpty():
             return seen
         levels.append(step)

@@ -10,21 +10,10 @@ from gridloom.functions import tokens
 from gridloom.operators import augment, classify, coltypes, export, filters, link, ontology, relations, stats
 from gridloom.plans import grids as G
 from gridloom.plans.grids import HIERARCHY, NATION_GRID, PART_GRID, ROW_GRID
+from gridloom.plans.registry import ORACLES, QUERIES  # noqa: F401
+from gridloom.plans.registry import query as _query
 from gridloom.sources.tables import table
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def _query(sql: str):
-    def register(f):
-        QUERIES[f.__name__] = f
-        ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
 _BLANK = "coalesce(text, '') IN ('', ' ', '-', 'None')"
 
 
@@ -112,9 +101,17 @@ def clean_text_all(spark, sf_dir):
     return parts.select("kind", "id", "place", T.clean_cell(F.col("raw")).alias("text"))
 
 
-@_query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in T.xsd_rows()) + ") v(datatype, xsd_label, xsd_uri)")
+_KINDS = "geo_coordinates address hex_color url numeric image credit_card email ip isbn iso8601 boolean date id currency description iata other".split()
+
+
+@_query(f"""WITH d AS (SELECT p_partkey, {_KINDS!r}[p_size % 18 + 1] AS datatype FROM part),
+l AS (SELECT p_partkey, datatype, unnest(CASE datatype WHEN 'numeric' THEN ['float', 'integer', 'double'] WHEN 'url' THEN ['anyURI'] WHEN 'boolean' THEN ['boolean'] WHEN 'date' THEN ['date'] ELSE ['string'] END) AS name FROM d)
+SELECT p_partkey, datatype, 'xsd:' || name AS xsd_label, 'http://www.w3.org/2001/XMLSchema#' || name AS xsd_uri FROM l""")
 def xsd_lookup(spark, sf_dir):
-    return spark.createDataFrame(T.xsd_rows(), "datatype string, xsd_label string, xsd_uri string")
+    kinds = F.array(*[F.lit(k) for k in _KINDS])
+    typed = table(spark, sf_dir, "part").select("p_partkey", F.get(kinds, F.col("p_size") % 18).alias("datatype"))
+    labels = typed.select("p_partkey", "datatype", F.explode(T.xsd_types(F.col("datatype"))).alias("xsd_label"))
+    return labels.withColumn("xsd_uri", T.xsd_uri(F.col("xsd_label")))
 
 
 # Types of cells and columns
@@ -253,14 +250,6 @@ def nil_anti(spark, sf_dir):
     return _linked(spark, sf_dir).filter("is_nil").groupBy("table_id", "link").agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query(f"""WITH {NATION_GRID} SELECT table_id, count(*) FILTER (link <> '') AS linked_cells, count(*) FILTER (entity LIKE 'Q%') AS entities_found,
-  count(*) FILTER (link <> '' AND entity = '') AS entities_not_found, count(*) FILTER (entity = 'NIL') AS nils,
-  count(*) FILTER (entity LIKE 'Q%' AND len(types) > 0) AS types_found, count(*) FILTER (entity LIKE 'Q%' AND len(types) = 0) AS types_not_found,
-  CAST(0 AS BIGINT) AS with_header FROM typed GROUP BY 1""")
-def table_stats(spark, sf_dir):
-    return link.table_stats(_typed(spark, sf_dir))
-
-
 @_query("""SELECT key, count(*) AS n_sources FROM (SELECT DISTINCT 'supplier' AS s, s_nationkey AS key FROM supplier
 UNION ALL SELECT DISTINCT 'customer', c_nationkey FROM customer) GROUP BY key""")
 def key_union_distinct(spark, sf_dir):

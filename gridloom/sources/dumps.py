@@ -2,32 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom import schema
 from gridloom.functions import text as T
 
 
-def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of an XML dump, compressed or not: page_id, title, wikitext, source_file. A page without id or title fails the job when read."""
+def read_dump(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """Pages of an XML dump, compressed or not: page_id, title, wikitext, source_file.
+
+    A page without id or title fails the job when read, if strict; else it stays
+    with nulls, for ``quarantined``.
+    """
     raw = spark.read.format("xml").option("rowTag", "page").schema(schema.DUMP_PAGE).load(path)
-    must = lambda c: F.coalesce(F.trim(c), F.raise_error(F.lit("page without id or title")).cast("string"))
+    must = lambda c: F.coalesce(F.trim(c), F.raise_error(F.lit("page without id or title")).cast("string")) if strict else F.trim(c)
     return raw.select(must(F.col("id")).alias("page_id"), must(F.col("title")).alias("title"), F.col("revision.text._VALUE").alias("wikitext"), F.col("_metadata.file_name").alias("source_file"))
 
 
+def quarantined(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """(rows in which none of the columns is null, the others): what can't be used is set apart, and the job goes on."""
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col(c).isNotNull()
+    return df.filter(whole), df.filter(~whole)
+
+
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
     """title (normalised), page_id, source_file; only these two elements are kept of each page."""
     pages = spark.read.format("xml").option("rowTag", "page").schema("title string, id string").load(path)
     return pages.select(T.normalize_link(F.col("title")).alias("title"), F.trim("id").alias("page_id"), F.col("_metadata.file_name").alias("source_file"))
 
 
-def read_page_documents(spark: SparkSession, folder: str, tolerant: bool = False) -> DataFrame:
-    """Page documents (one JSON each, gzip or plain) whose names hold diz_. tolerant: unreadable files are passed over."""
+def read_page_documents(spark: SparkSession, folder: str, tolerant: bool = False, names: str = "*diz_*", lines: bool = False) -> DataFrame:
+    """Page documents (gzip or plain) in files of these names: one JSON a file, or one a line. tolerant: unreadable files are passed over."""
     return (
         spark.read.schema(schema.PAGE_DOCUMENT)
-        .option("multiLine", True)
-        .option("pathGlobFilter", "*diz_*")
+        .option("multiLine", not lines)
+        .option("pathGlobFilter", names)
         .option("recursiveFileLookup", True)
         .option("ignoreCorruptFiles", tolerant)
         .json(folder)
@@ -44,15 +56,21 @@ def qid_of(uri: Column) -> Column:
     return F.regexp_extract(F.trim(uri), "^<?(?:.*/)?[^/0-9]([0-9]{1,18})>?$", 1).try_cast("bigint")
 
 
-def read_triples(spark: SparkSession, path: str, predicate: str | None = None) -> DataFrame:
-    """sub, sup of N-Triples lines (gzip or plain), null where an id doesn't parse. A line that isn't four fields with a final dot fails the job."""
+def read_triples(spark: SparkSession, path: str, predicate: str | None = None, strict: bool = True) -> DataFrame:
+    """sub, sup of N-Triples lines (gzip or plain), null where an id doesn't parse.
+
+    A line that isn't four fields with a final dot fails the job, if strict; else
+    it gives nulls too.
+    """
     lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
     parts = F.split(F.trim("value"), " ")
     if predicate:
-        lines = lines.filter(parts[1] == predicate)
+        lines = lines.filter(F.get(parts, F.lit(1)) == predicate)
     well = (F.size(parts) == 4) & (F.get(parts, F.lit(3)) == ".")
-    checked = F.when(well, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("bad triple: "), F.col("value"))).cast("boolean"))
-    return lines.filter(checked).select(qid_of(parts[0]).alias("sub"), qid_of(parts[2]).alias("sup"))
+    if strict:
+        lines = lines.filter(F.when(well, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("bad triple: "), F.col("value"))).cast("boolean")))
+    field = lambda i: qid_of(F.when(well, F.get(parts, F.lit(i))))
+    return lines.select(field(0).alias("sub"), field(2).alias("sup"))
 
 
 def split_bad_ids(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,7 +95,7 @@ def acronym_pairs(lines: DataFrame) -> DataFrame:
 
 
 #: Lookups of a knowledge base as tables: kind -> (key, value column).
-LOOKUPS = {"entities": ("link", "entity"), "types": ("entity", "types"), "aliases": ("entity", "aliases"), "predicates": ("pair", "predicates"), "labels": ("entity", "label"), "literals": ("text", "datatype")}
+LOOKUPS = {"entities": ("link", "entity"), "types": ("entity", "types"), "aliases": ("entity", "aliases"), "predicates": ("pair", "predicates"), "labels": ("entity", "label"), "literals": ("text", "datatype"), "columns": ("column", "analysis")}
 
 
 def lookup(keys: DataFrame, kind: str, table: DataFrame) -> DataFrame:
@@ -89,15 +107,23 @@ def lookup(keys: DataFrame, kind: str, table: DataFrame) -> DataFrame:
     return out.filter(F.size(value) > 0) if dict(out.dtypes)[value].startswith("array") else out.filter(F.col(value).isNotNull())
 
 
+def _variants(low: Column, most_apart: int) -> Column:
+    """A name with up to so many of its letters left out: names most_apart edits apart share one of these."""
+    out = F.array(low)
+    for _ in range(most_apart):
+        shorter = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+        out = F.array_distinct(F.concat(out, F.flatten(F.transform(out, shorter))))
+    return out
+
+
 def lookup_names(names: DataFrame, labels: DataFrame, k: int = 10, most_apart: int = 0) -> DataFrame:
-    """Entities by name: equal lower-case labels, or up to most_apart edits within the same first letter; the k nearest of each name."""
-    from pyspark.sql import Window
-
-    n = names.select("name", F.lower("name").alias("low"))
-    e = labels.select("entity", "label", F.lower("label").alias("label_low"))
-    if most_apart == 0:
-        both = n.join(e, n.low == e.label_low).withColumn("apart", F.lit(0))
-    else:
-        both = n.join(e, F.substring("low", 1, 1) == F.substring("label_low", 1, 1)).withColumn("apart", F.levenshtein("low", "label_low", most_apart)).filter("apart BETWEEN 0 AND " + str(most_apart))
-    rank = F.row_number().over(Window.partitionBy("name").orderBy("apart", "entity"))
+    """Entities by name: equal lower-case labels, or up to most_apart edits away; the k nearest of each name.
+
+    Candidates share a variant with letters left out, so none is missed. A name
+    has about length ** most_apart variants: most_apart is meant to be 1 or 2.
+    """
+    n = names.select("name", F.lower("name").alias("low")).distinct().select("name", "low", F.explode(_variants(F.col("low"), most_apart)).alias("variant"))
+    e = labels.select("entity", "label", F.lower("label").alias("label_low")).select("*", F.explode(_variants(F.col("label_low"), most_apart)).alias("variant"))
+    both = n.join(e, "variant").select("name", "entity", "label", F.levenshtein("low", "label_low").alias("apart")).filter(F.col("apart") <= most_apart).distinct()
+    rank = F.row_number().over(Window.partitionBy("name").orderBy("apart", "entity", "label"))
     return both.withColumn("rank", rank).filter(F.col("rank") <= k).select("name", "entity", "label", "apart", "rank")

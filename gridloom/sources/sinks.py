@@ -28,15 +28,26 @@ def write_ordered(df: DataFrame, path: str) -> None:
 
 
 def write_tables_csv(cells: DataFrame, path: str) -> None:
-    """The body of each table as CSV with the header col0, col1, ...: one folder for each width and table."""
-    rows = dense_rows(cells).withColumn("width", F.size("values"))
-    for width in [r.width for r in rows.select("width").distinct().orderBy("width").collect()]:  # widths are bounded by the cap on columns
-        columns = [F.get("values", F.lit(i)).alias(f"col{i}") for i in range(width)]
-        part = rows.filter(F.col("width") == width).repartition("table_id").sortWithinPartitions("table_id", "row_id")
-        part.select("table_id", *columns).write.mode("overwrite").partitionBy("table_id").option("header", True).csv(f"{path}/width={width}")
+    """The body of each table as CSV with the header col0, col1, ...: one folder for each table, all widths in one job."""
+    rows = dense_rows(cells)
+    width = rows.groupBy("table_id").agg(F.max(F.size("values")).alias("width"))
+    heads = width.select("table_id", F.lit(-1).alias("row_id"), F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.concat(F.lit("col"), i.cast("string"))).alias("values"))
+    quoted = lambda v: F.when(v.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(v)
+    lines = heads.unionByName(rows).select("table_id", "row_id", F.array_join(F.transform("values", quoted), ",").alias("line"))
+    lines.repartition("table_id").sortWithinPartitions("table_id", "row_id").select("table_id", "line").write.mode("overwrite").partitionBy("table_id").text(path)
 
 
 def write_truth(truth: DataFrame, path: str) -> None:
     """Ground truth without header, and its targets (the answers left out) beside it."""
     truth.write.mode("overwrite").option("header", False).csv(f"{path}/gt")
     target_rows(truth).write.mode("overwrite").option("header", False).csv(f"{path}/target")
+
+
+def write_relations(majority: DataFrame, path: str) -> None:
+    """Ground truth on pairs of columns, without header: table, two columns, predicate."""
+    majority.select("table_id", "col_1", "col_2", "predicate").write.mode("overwrite").option("header", False).csv(path)
+
+
+def write_pairs(pairs: DataFrame, path: str) -> None:
+    """A dictionary of two columns as JSON lines: the audit of links and entities, acronyms with their meanings."""
+    pairs.write.mode("overwrite").json(path)

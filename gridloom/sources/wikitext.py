@@ -110,28 +110,38 @@ _RAW = "page_id string, ordinal int, caption string, row_id int, col_id int, raw
 
 
 def _parsed(batches):
+    names = [c.split()[0] for c in _RAW.split(", ")]
     for pdf in batches:
-        out = []
         for page_id, text in zip(pdf.page_id, pdf.wikitext, strict=True):
-            for k, t in enumerate(parse_tables(text)):
+            for k, t in enumerate(parse_tables(text)):  # table by table, so that one batch never holds more
+                out = []
                 for i, row in enumerate(t["rows"]):
                     for j, (raw, header) in enumerate(row):
                         links = _LINK.findall(raw)
                         out.append((page_id, k, t["caption"], i, j, raw, header, [a for a, _ in links], [b or a for a, b in links]))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in _RAW.split(", ")])
+                if out:
+                    yield pd.DataFrame(out, columns=names)
 
 
 def table_key(page_id: str, ordinal: int) -> str:
     return hashlib.sha256(f"{page_id}:{ordinal}".encode()).hexdigest()[:16]
 
 
-def extract_cells(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """page_id, wikitext -> cells of the tables that pass: within the caps, with links, and min_links in some column.
+def raw_cells(pages: DataFrame) -> DataFrame:
+    """page_id, wikitext -> all cells of all tables as they stand, with their links.
 
     Pages are filtered before they are parsed, as no filter passes through Python.
     """
     raw = pages.filter(F.contains("wikitext", F.lit("wikitable"))).select("page_id", "wikitext").mapInPandas(_parsed, _RAW)
-    raw = raw.withColumn("table_id", F.substring(F.sha2(F.concat_ws(":", "page_id", "ordinal"), 256), 1, 16))
+    return raw.withColumn("table_id", F.substring(F.sha2(F.concat_ws(":", "page_id", "ordinal"), 256), 1, 16))
+
+
+def extract_cells(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """page_id, wikitext -> cells of the tables that pass: within the caps, with links, and min_links in some column."""
+    return kept_cells(raw_cells(pages), config)
+
+
+def kept_cells(raw: DataFrame, config: Config = DEFAULT) -> DataFrame:
     plain = T.clean_cell(F.col("raw"))
     raw = with_cell_type(raw.withColumn("_flat", F.replace("raw", F.lit("\n"), F.lit(""))), "_flat", "raw_type").drop("_flat")
     cells = raw.withColumn("text", plain).withColumn("link", F.when(T.is_whole_link(F.col("labels"), F.col("text")), T.normalize_link(F.get("targets", F.lit(0)))).otherwise(F.lit("")))

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from gridloom.plans import catalog
+from gridloom.plans import catalog, stages  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

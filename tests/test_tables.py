@@ -130,8 +130,13 @@ def test_linking_outcomes(spark):
     cells = link.with_entities(grid(spark, [["a"], ["b"], ["c"], ["Q5"], ["e"]], links=links), kg, titles)
     assert {r.row_id: r.entity for r in cells.collect()} == {0: "Q90", 1: "", 2: "NIL", 3: "Q5", 4: ""}
     typed = link.with_types(cells, spark.createDataFrame([("Q90", ["Q515"])], "entity string, types array<string>"))
-    s = link.table_stats(typed).first()
-    assert (s.linked_cells, s.entities_found, s.entities_not_found, s.nils, s.types_found, s.types_not_found) == (4, 2, 1, 1, 1, 1)
+    captions = spark.createDataFrame([("t", "None")], "table_id string, caption string")
+    top = spark.createDataFrame([("Q1",)], "type string")
+    depth = spark.createDataFrame([(515, 2, 1)], "cls long, depth int, n_ancestors long")
+    s = link.table_stats(typed, captions, top, depth).first()
+    assert (s.tot_linked_cell, s.entities_found, s.entities_not_found, s.nils, s.types_found, s.types_not_found) == (4, 2, 2, 1, 1, 3)
+    assert (s.tot_cells, s.count_with_caption, s.generic_types, s.specific_types, s.filtered_types, s.tot_cols_with_types, s.count_single_domain) == (5, 0, 0, 1, 0, 1, 1)
+    assert len(s) == 21
     assert ids(filters.rows_with_ids(cells), "row_id") == [3]
     assert ids(link.entity_keys(cells, kg), "entity") == ["Q5", "Q90"]
     assert {(r.row, r.answer) for r in export.cea_rows(cells).collect()} == {(0, export.ENTITY_ROOT + "Q90"), (1, "UNKNOWN"), (2, "NIL"), (3, export.ENTITY_ROOT + "Q5"), (4, "UNKNOWN")}
@@ -203,8 +208,8 @@ def test_dump_to_cells(spark, tmp_path):
     }
     assert cells.first().caption == "Cities" and cells.first().table_id == wikitext.table_key("12", 0)
     assert wikitext.page_context(pages.filter("page_id = '12'")).first().context == {"History": "new"}
-    n = stats.extract_counters(pages, cells).first()
-    assert (n.pages, n.tables, n["rows"], n.cols) == (2, 1, 4, 2)
+    n = stats.extract_counters(pages, wikitext.raw_cells(pages), cells).first()
+    assert tuple(n) == (2, 1, 1, 1, 4, 2)
     assert wikitext.extract_cells(pages, Config(max_columns=1)).count() == 0
 
 
@@ -223,6 +228,8 @@ def test_page_documents_triples_and_lookups(spark, tmp_path):
     (tmp_path / "bad.nt").write_text("<a> <b> <c>\n")
     with pytest.raises(Exception, match="bad triple"):
         dumps.read_triples(spark, str(tmp_path / "bad.nt")).collect()
+    loose = dumps.read_triples(spark, str(tmp_path / "bad.nt"), strict=False)
+    assert dumps.split_bad_ids(loose)[1].first().errors == 1
     items = spark.createDataFrame([("NASA – National Agency (x); more",), ("no dash",)], "item string")
     assert [tuple(r) for r in dumps.acronym_pairs(items).collect()] == [("NASA", "national agency")]
     labels = spark.createDataFrame([("Q1", "Paris"), ("Q2", "Parys")], "entity string, label string")
@@ -232,6 +239,22 @@ def test_page_documents_triples_and_lookups(spark, tmp_path):
         dumps.lookup(names, "unknown", labels)
 
 
+def test_settings():
+    got = Config.from_settings({"MAXLINES": "7", "ADDTYPOS": "", "ADDALIASES": "True", "ADDTYPOSPERCENT": "30", "OTHER": "x"})
+    assert got == Config(max_rows=7, typos=False, typo_percent=30) and Config.from_settings({}) == Config()
+
+
+def test_pages_without_id_are_set_apart(spark, tmp_path):
+    (tmp_path / "d.xml").write_text("<d><page><title>a</title><id>1</id></page><page><title>b</title></page></d>")
+    good, bad = dumps.quarantined(dumps.read_dump(spark, str(tmp_path / "d.xml"), strict=False), "page_id", "title")
+    assert [r.title for r in good.collect()] == ["a"] and [r.title for r in bad.collect()] == ["b"]
+
+
+def test_larger_hierarchies_are_joined_level_by_level(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (5, 4), (4, 3), (5, 3)], "sub long, sup long")
+    assert {tuple(r) for r in ontology.closure(edges).collect()} == {tuple(r) for r in ontology.closure(edges, 0).collect()}
+
+
 def test_sinks(spark, tmp_path):
     g = grid(spark, [["h", "h2"], ["a", "b"], ["c", "d"]], headers=1)
     sinks.write_tables_csv(g, str(tmp_path / "csv"))
