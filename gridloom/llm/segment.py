@@ -37,51 +37,19 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .symbols import BASE, SALT, hashed, parts_of, powers, sums_of, symbols_of
+
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-#: Edges kept before lattices are forgotten, about 100 MB with their nodes and names; texts and symbols of a batch.
-_MOST_EDGES, _TEXTS, _SYMBOLS = 2_000_000, 200, 400_000
-_BASE = 0x9E3779B97F4A7C15
-_STEP, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_S30, _S27, _S31, _S11 = (np.uint64(x) for x in (30, 27, 31, 11))
-
-
-def _hash(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _S30)) * _M1
-    x ^= x >> _S27
-    x *= _M2
-    x ^= x >> _S31
-    return x
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least the first n powers of a base and of its inverse."""
-    if len(_powers.kept[0]) < n:
-        up, down = (np.full(2 * n, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
-        up[:1] = down[:1] = 1
-        _powers.kept = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _powers.kept
-
-
-_powers.kept = (np.empty(0, np.uint64), np.empty(0, np.uint64))
-
-
-def _sums(symbols: np.ndarray) -> np.ndarray:
-    """Running sums of hashes; a stretch's name is the difference at its ends, moved back to its place."""
-    sums = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum(_hash(symbols.astype(np.uint64) + _SALT) * _powers(len(symbols))[0][: len(symbols)], out=sums[1:])
-    return sums
-
-
-def _symbols(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+#: Edges kept before lattices are forgotten, about 100 MB with their nodes and names.
+_MOST_EDGES = 2_000_000
+_STEP = np.uint64(BASE)
+_M1, _M2, _S11 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(11)
 
 
 class Vocabulary:
@@ -107,8 +75,8 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces), default=1)
         # Pieces by name, for whole arrays of them.
         texts = list(self.pieces)
-        sums, ends = _sums(_symbols("".join(texts))), np.cumsum([0, *map(len, texts)])
-        self.names = (sums[ends[1:]] - sums[ends[:-1]]) * _powers(len(sums))[1][ends[:-1]]
+        sums, ends = sums_of(symbols_of("".join(texts))), np.cumsum([0, *map(len, texts)])
+        self.names = (sums[ends[1:]] - sums[ends[:-1]]) * powers(len(sums))[1][ends[:-1]]
         self.weights = np.log([self.pieces[t][0] for t in texts])
         self.ids = np.array([self.pieces[t][1] for t in texts], np.int32)
         self._place()
@@ -128,7 +96,7 @@ class Vocabulary:
 
     @staticmethod
     def _slots(names: np.ndarray, turn: int) -> np.ndarray:
-        return (names * np.uint64(pow(_BASE, turn + 1, 1 << 64)) >> np.uint64(46)).astype(np.int64)
+        return (names * np.uint64(pow(BASE, turn + 1, 1 << 64)) >> np.uint64(46)).astype(np.int64)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("singles", "tables")}
@@ -217,12 +185,12 @@ class Lattices:
         so nodes are numbered and gone through by length.
         """
         v, base = self.v, self.nodes
-        symbols = _symbols("".join(chunks))
+        symbols = symbols_of("".join(chunks))
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         ends = np.cumsum(sizes)
         place = np.arange(len(symbols))
         length = np.repeat(ends, sizes) - place
-        sums, down = _sums(symbols), _powers(len(symbols))[1]
+        sums, down = sums_of(symbols), powers(len(symbols))[1]
         names, where, which = np.unique((sums[np.repeat(ends, sizes)] - sums[:-1]) * down[: len(symbols)], return_index=True, return_inverse=True)
         at = np.searchsorted(self._names, names)
         known = np.zeros(len(names), bool)
@@ -315,7 +283,7 @@ class Lattices:
 
 def _uniform(x: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) by hash."""
-    return ((_hash(x) >> _S11).astype(float) + 0.5) * 2.0**-53
+    return ((hashed(x) >> _S11).astype(float) + 0.5) * 2.0**-53
 
 
 def _truncated(mass: np.ndarray, bound: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -343,7 +311,7 @@ class _Paths:
         with np.errstate(divide="ignore"):
             mass = self.before + np.log(-np.expm1(np.minimum(log_p, 0.0)))
         place = np.arange(len(edge)) - self.starts[text]
-        self.open = _truncated(mass, value[text], seeds[text] + place.astype(np.uint64) * _SALT)
+        self.open = _truncated(mass, value[text], seeds[text] + place.astype(np.uint64) * SALT)
         self.open[place < first[text]] = -np.inf
         self.best = np.full(len(texts), -np.inf)
         self.at = self.starts.copy()
@@ -367,13 +335,13 @@ def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int],
     sizes = np.array([len(x) for x in split], np.int64)
     starts = lattices.open([c for x in split for c in x])
     begins = np.cumsum(sizes) - sizes
-    keys_ = _hash(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + _SALT)
-    seeds = lambda turn: _hash(keys_ + np.uint64(turn * int(_M2) % (1 << 64)))
+    keys_ = hashed(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + SALT)
+    seeds = lambda turn: hashed(keys_ + np.uint64(turn * int(_M2) % (1 << 64)))
     owner = np.repeat(np.arange(len(texts)), sizes)
     number = np.arange(len(owner)) - begins[owner]
 
     def chunk_seeds(rows: np.ndarray, turn: int) -> np.ndarray:
-        return _hash(seeds(turn)[owner[rows]] ^ (number[rows].astype(np.uint64) * _M1 + np.uint64(1)))
+        return hashed(seeds(turn)[owner[rows]] ^ (number[rows].astype(np.uint64) * _M1 + np.uint64(1)))
 
     every = np.arange(len(owner))
     chunk, edge = lattices.walk(starts, chunk_seeds(every, 1))
@@ -458,26 +426,13 @@ def _lattices(vocabulary: Vocabulary) -> Lattices:
     return _kept[0][1]
 
 
-def _parts(b: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-    """Slices of at most _TEXTS rows and, but for single texts, _SYMBOLS bytes."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(b.column(1)), 0).to_pylist()
-    at = many = 0
-    for i, n in enumerate(sizes):
-        if i > at and (i - at == _TEXTS or many + n > _SYMBOLS):
-            yield b.slice(at, i - at)
-            at, many = i, 0
-        many += n
-    if b.num_rows:
-        yield b.slice(at)
-
-
 def _encoded(vocabulary: Vocabulary, samples: int):
     fields = [("doc_id", pa.int64()), ("sample", pa.int32()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("inclusion", pa.float64()), ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))]
 
     def run(batches):
         lattices = _lattices(vocabulary)
         for b in batches:
-            for part in _parts(b):
+            for part in parts_of(b, 1):
                 rows, all_ids = [], []
                 doc_ids, texts = part.column(0).to_pylist(), [x or "" for x in part.column(1).to_pylist()]
                 made = sample_batch(lattices, texts, [-1 if x is None else x for x in doc_ids], samples)
