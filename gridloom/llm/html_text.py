@@ -3,9 +3,11 @@
 A page is cut into blocks at block-level tags. The first pass judges each block
 by itself: length, density of stop words and of link text, and what it stands
 in (navigation, forms, adverts, comments and the like are out; an article or
-main element speaks for a block). Blocks too short or too plain to tell are left
-open, and the second pass gives them the label of the nearest decided blocks
-before and after.
+main element speaks for a block). Long blocks of sentences are good in any
+language; signs of scripts without spaces count threefold. Names of classes put
+an element out only if all their parts are known for it, so that a section on
+related work stays. Blocks too short or too plain to tell are left open, and the
+second pass gives them the label of the nearest decided blocks before and after.
 
 A null page counts as empty and gives the empty text. Truncated pages, unclosed
 elements and stray markup are read as far as they go. Every page gives one row;
@@ -42,20 +44,31 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'<>]|"[^"]*"|'[^']*')*
 _NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_SENTENCE = re.compile(r"[。！？]|[.!?…](?=[\s\"'”’»)\]]|$)")
+_DENSE = re.compile("[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 #: Words in an element's class, id or role that mark what isn't the article.
 _ASIDE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner breadcrumb breadcrumbs comment comments commentlist disqus respond reply replies reader cookie cookies consent gdpr notice notices alert disclaimer footer header masthead menu menus nav navbar navigation newsletter subscribe signup login popup modal overlay pager pagination related recommended share sharing social sidebar sidebars widget widgets toolbar search complementary contentinfo".split()
+    "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner breadcrumb breadcrumbs comment comments commentlist disqus respond reply replies responses cookie cookies consent gdpr notice notices alert disclaimer footer header masthead menu menus nav navbar navigation newsletter subscribe signup login popup modal overlay pager pagination related recommended share sharing social sidebar sidebars widget widgets toolbar search complementary contentinfo".split()
 )
+#: Parts of names that say nothing by themselves.
+_FILLER = frozenset("area article articles bar block blog body bottom box button col column container content entry footer form group header icon inner inline item items left link links list main module page panel post posts reader readers right row section site slot text title top unit user wrap wrapper".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
-def _aside(attributes: str) -> bool:
-    if "=" not in attributes:
-        return False
-    for m in _NAMED.finditer(attributes):
-        if any(x.lower() in _ASIDE for x in _PARTS.findall(m[1])):
-            return True
-    return False
+def _aside(attributes: str) -> set[str]:
+    """Those words of an element's names that mark what isn't the article."""
+    found: set[str] = set()
+    if "=" in attributes:
+        for m in _NAMED.finditer(attributes):
+            for name in m[1].strip("\"'").split():
+                parts = {x.lower() for x in _PARTS.findall(name)}
+                if parts <= _ASIDE | _FILLER:
+                    found |= parts & _ASIDE
+    return found
+
+
+def _size(text: str) -> int:
+    return len(text) + 2 * len(_DENSE.findall(text))
 
 
 def blocks(page: str) -> list[tuple[str, bool, bool, float]]:
@@ -107,7 +120,7 @@ def blocks(page: str) -> list[tuple[str, bool, bool, float]]:
                 article = max(0, article - 1)
                 out = [x for x in out if x[2] <= article]  # what was open inside ends with it
         else:
-            aside = _aside(m[3])
+            aside = bool(_aside(m[3]) - ({"header"} if article else set()))  # an article may have a heading of its own
             if name in ("article", "main"):
                 if not aside and not article:
                     out = []  # a menu or advert that was left open ends here
@@ -131,11 +144,12 @@ def judged(found: list[tuple[str, bool, bool, float]]) -> list[bool]:
     for text, out, article, links in found:
         words = _WORD.findall(text.lower())
         stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        if out or links > LINKS or text[0] == "\N{COPYRIGHT SIGN}":
+        size = _size(text)
+        if out or links > LINKS or text[0] == "\N{COPYRIGHT SIGN}" and size < LONG:
             first.append(0)
-        elif len(text) < SHORT:
+        elif size < SHORT:
             first.append(None if not links else 0 if not article else None)
-        elif stops >= STOP_HIGH or stops >= STOP_LOW and (article or len(text) > LONG):
+        elif stops >= STOP_HIGH or stops >= STOP_LOW and (article or size > LONG) or size > LONG and _SENTENCE.search(text):
             first.append(1)
         else:
             first.append(None)

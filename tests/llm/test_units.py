@@ -53,6 +53,31 @@ def test_main_text_without_an_article_takes_dense_blocks_and_their_neighbours():
     assert html_text.main_text(page)[0].split("\n") == [long.strip(), "In short.", long.strip()]
 
 
+@pytest.mark.parametrize(
+    "sentence",
+    ["Il gatto nero dorme sopra il vecchio tetto della casa grande vicino al fiume.", "Den gamla katten sover gärna på taket av det stora huset nära floden.", "古い家の屋根の上で黒い猫が静かに眠っている。川の近くの町は朝から雨が降っている。"],
+)
+def test_main_text_in_languages_without_known_stop_words(sentence):
+    text = " ".join([sentence] * 4)
+    page = f"<body><nav><a href=x>one</a> <a href=y>two</a></nav><h1>Title</h1><p>{text}</p><p>{text}</p><div class=sidebar>{text}</div></body>"
+    assert html_text.main_text(page)[0].split("\n")[-2:] == [text, text]
+
+
+def test_names_of_classes_put_out_only_what_they_surely_mark():
+    body = "This is the text of the part and it is as long as it has to be for that to be seen by the rules of it."
+    for opening in ('<section id="related-work">', '<section class="reader">', '<div class="article-header">'):
+        assert html_text.main_text(f"<article>{opening}<h1>A head</h1><p>{body}</p></{opening[1:].split()[0]}></article>")[0] == f"A head\n{body}"
+    for opening in ('<div class="related-posts">', '<div id="reader-comments">', '<div class="newsletter signup">'):
+        assert html_text.main_text(f"<article><p>{body}</p>{opening}<p>{body}</p></div></article>")[0] == body
+    assert html_text.main_text(f"<article><p>\N{COPYRIGHT SIGN} {body} {body}</p><p>\N{COPYRIGHT SIGN} 2020 Someone</p><p>{body}</p></article>")[0] == f"\N{COPYRIGHT SIGN} {body} {body}\n{body}"
+
+
+def test_very_long_pages_and_repeated_blocks():
+    body = "This is the text of the part and it is as long as it has to be for that to be seen by the rules of it."
+    text = html_text.main_text("<article>" + f"<p>{body}</p>" * 20_000 + "</article>")[0]
+    assert text == "\n".join([body] * 20_000)
+
+
 def test_signature_agrees_as_the_weighted_similarity():
     rng = random.Random(2)
     apart = []
