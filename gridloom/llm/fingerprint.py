@@ -131,10 +131,11 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     edges = made.filter("edge IS NOT NULL")
     firsts = edges.filter("edge = 0").select("part", F.col("text").alias("head"))
     lasts = edges.filter("edge = 1").select("part", "doc_id", "text")
-    # A row for each partition.
+    # Which partition comes next: a number for each partition; the texts are joined to it.
     by_part = Window.orderBy("part")
     every = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    joined = lasts.join(firsts, "part").withColumn("next", F.coalesce(F.lead("head").over(by_part), F.first("head").over(every)))
+    after = firsts.select("part", F.coalesce(F.lead("part").over(by_part), F.first("part").over(every)).alias("after"))
+    joined = lasts.join(after, "part").join(firsts.select(F.col("part").alias("after"), F.col("head").alias("next")), "after")
     return made.filter("edge IS NULL").select(*[n for n, _ in _FIELDS]).unionByName(joined.select("doc_id", "text", "next").mapInArrow(_pairs, _SCHEMA))
 
 
@@ -166,7 +167,8 @@ def near_pairs(prints: DataFrame, radius: int = 7) -> tuple[DataFrame, DataFrame
     fingerprints at most radius bits apart agree in one of radius + 1 blocks
     (for radius 1, 3, 7, 15), so radius + 1 tables keyed by a block find every
     pair; a pair is kept at the first block that it shares. Copies are members
-    of one class and never pair.
+    of one class and never pair. Null ids come last in a class, null fingerprints
+    are a class without pairs.
     """
     width = BITS // 4 // (radius + 1)
     if width * (radius + 1) * 4 != BITS:
@@ -184,5 +186,16 @@ def near_pairs(prints: DataFrame, radius: int = 7) -> tuple[DataFrame, DataFrame
     return pairs.select(F.least(*ids).alias("class_a"), F.greatest(*ids).alias("class_b"), apart.alias("bits")), members
 
 
+def links_within(docs: DataFrame, radius: int = 7) -> DataFrame:
+    """doc_id, text -> doc_id, class_id, n_links: how many other fingerprints lie within radius bits of a document's own."""
+    pairs, members = near_pairs(fingerprints(docs), radius)
+    ends = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
+    return members.join(ends, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def fingerprint_links(spark, sf_dir: str) -> DataFrame:
+    return links_within(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op7(spark, sf_dir: str) -> DataFrame:
     return edit_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"))

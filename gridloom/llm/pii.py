@@ -14,9 +14,14 @@ are made anew. A permutation keeps equal values equal in every document and
 different ones different; dates are linked across formats, as the day is
 permuted. A day and month in slashes are read month first if that is valid.
 
-A null text stays null and has no findings. Other columns of a row are kept;
-n_private and private are added and replace columns of these names. There is no
-shuffle: long texts and repeated rows need nothing special.
+Mail addresses are linked whatever the case of their letters, North American
+numbers whatever separates their digits, and cards whatever separates theirs.
+
+A null text stays null and has no findings. Other columns of a row are kept,
+whatever their names; n_private and private are added and replace columns of
+these names. There is no shuffle: long texts and repeated rows need nothing
+special. What is found and what it becomes are made in Generate steps of one row
+each, through which no later expression is copied into them.
 """
 
 from __future__ import annotations
@@ -143,7 +148,13 @@ def _whole(m: Column, name: str) -> Column:
 def _email(m: Column, key: str) -> Column:
     dot = F.length(m) - F.length(F.substring_index(m, ".", -1))
     body = F.substring(m, F.lit(1), dot)
-    return F.concat(permuted_text(body, mask_of(body), key, "email"), F.substring_index(m, ".", -1))
+    low = F.lower(body)
+
+    def cased(new: Column) -> Column:
+        letter = lambda s, j: F.substring(s, j, F.lit(1))
+        return F.array_join(F.transform(_positions(body), lambda j: F.when(letter(body, j).rlike("[A-Z]"), F.upper(letter(new, j))).otherwise(letter(new, j))), "")
+
+    return F.concat(F.transform(F.array(permuted_text(low, mask_of(low), key, "email")), cased)[0], F.substring_index(m, ".", -1))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -197,7 +208,9 @@ def _phone(m: Column, key: str) -> Column:
 def _card(m: Column, key: str) -> Column:
     d = _digits(m)
     body = F.substring(d, F.lit(1), F.length(d) - 1)
-    new = permuted_text(body, F.concat(F.lit("x"), F.repeat(F.lit("d"), F.length(body) - 1)), key, "card")
+    # Of cards that start with 2 the second digit tells whether they are cards too.
+    fixed = F.when(d.startswith("2"), "xx").otherwise("x")
+    new = permuted_text(body, F.concat(fixed, F.repeat(F.lit("d"), F.length(body) - F.length(fixed))), key, "card")
     return F.transform(F.array(new), lambda n: _refilled(m, F.concat(n, F.pmod(-luhn_sum(F.concat(n, F.lit("0"))), F.lit(10)).cast("string"))))[0]
 
 
@@ -226,7 +239,7 @@ def kind_of(m: Column) -> Column:
         .when(_whole(m, "date"), F.when(_day(m).isNotNull(), "date"))
         .when(_whole(m, "nanp"), F.lit("nanp"))
         .when(_whole(m, "card"), F.when(d.rlike("^(?:[3-6]|2[2-7])") & (luhn_sum(d) % 10 == 0), "card"))
-        .when(_whole(m, "phone"), F.when(F.length(d).between(8, 15), "phone"))
+        .when(_whole(m, "phone"), F.when(d.rlike("^1[2-9][0-9]{2}[2-9][0-9]{6}$"), "nanp").when(F.length(d).between(8, 15), "phone"))
     )
 
 
@@ -240,18 +253,20 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 
 def pseudonymised(docs: DataFrame, column: str = "text", key: str = KEY) -> DataFrame:
     """docs with its text's private values replaced; + n_private long, private array of (kind, pseudonym) in text order."""
-    text = F.col(column)
+    once = lambda x: F.explode(F.array(x))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col(f"row.`{column}`")
     # Most texts hold no digit and no @, and pass unread by the long pattern.
     some = text.rlike("[0-9@]")
     found = F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    found = F.transform(found, lambda m: F.struct(m.alias("value"), kind_of(m).alias("kind")))
-    out = docs.withColumn("_found", found)
-    out = out.withColumn("_found", F.transform("_found", lambda x: F.struct(x["kind"].alias("kind"), pseudonym(x["value"], x["kind"], key).alias("pseudonym"))))
+    rows = rows.select("row", once(F.transform(found, lambda m: F.struct(m.alias("value"), kind_of(m).alias("kind")))).alias("found"))
+    rows = rows.select("row", once(F.transform("found", lambda x: F.struct(x["kind"].alias("kind"), pseudonym(x["value"], x["kind"], key).alias("pseudonym")))).alias("found"))
     between = F.split(text, ANY, -1)
-    whole = F.array_join(F.transform(between, lambda x, i: F.concat(F.when(i > 0, F.get(F.col("_found"), i - 1)["pseudonym"]).otherwise(F.lit("")), x)), "")
-    out = out.withColumn(column, F.when(F.size("_found") > 0, whole).otherwise(text))
-    kept = F.filter("_found", lambda x: x["kind"].isNotNull())
-    return out.withColumns({"n_private": F.size(kept).cast("long"), "private": kept}).drop("_found")
+    whole = F.array_join(F.transform(between, lambda x, i: F.concat(F.when(i > 0, F.get(F.col("found"), i - 1)["pseudonym"]).otherwise(F.lit("")), x)), "")
+    rows = rows.select("row", "found", once(F.when(F.size("found") > 0, whole).otherwise(text)).alias("new"))
+    kept = F.filter("found", lambda x: x["kind"].isNotNull())
+    columns = [F.col("new").alias(c) if c == column else F.col(f"row.`{c}`") for c in docs.columns if c not in ("n_private", "private")]
+    return rows.select(*columns, F.size(kept).cast("long").alias("n_private"), kept.alias("private"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

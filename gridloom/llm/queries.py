@@ -16,6 +16,7 @@ QUERIES = {
     "op9_near_duplicates": near_dup.op9,
     "op10_line_dedup": lines.op10,
     "op10_recurring_lines": lines.op10_all,
+    "fingerprint_links": fingerprint.fingerprint_links,
 }
 
 ORACLES = {

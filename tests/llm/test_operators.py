@@ -23,7 +23,7 @@ def docs(spark, rows=ODD):
 
 def clashing(df):
     """Columns by names that operators use inside."""
-    names = "key size signature rank copies score n root at line place leaf template bucket spans vector block part edge _key _size".split()
+    names = "key size signature rank copies score n root at line place leaf template bucket spans vector block part edge _key _size _found row found new kept after _d _s _w _n".split()
     return df.select("*", *[F.lit("x").alias(c) for c in names if c not in df.columns])
 
 
@@ -80,6 +80,115 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert shape(mask(r.text)) == shape(mask(text))
 
 
+# The same in plain Python.
+
+
+def _prf(tag, i, value):
+    return hashlib.sha256(f"{pii.KEY}|{tag}|{i}|{value}".encode()).hexdigest()
+
+
+def _int(x, a, b, tag):
+    l, r = divmod(x, b)
+    for i in range(pii.ROUNDS):
+        by = int(_prf(tag, i, r if i % 2 == 0 else l)[:13], 16)
+        l, r = ((l + by) % a, r) if i % 2 == 0 else (l, (r + by) % b)
+    return l * b + r
+
+
+def _text(s, mask, tag):
+    half = len(s) // 2
+    parts, masks = [s[:half], s[half:]], [mask[:half], mask[half:]]
+    low = {"d": (48, 10), "n": (50, 8), "l": (97, 26), "U": (65, 26)}
+    for i in range(pii.ROUNDS):
+        k = i % 2
+        by = _prf(tag, i, f"{mask}|{parts[1 - k]}")
+        new = ""
+        for j, (c, m) in enumerate(zip(parts[k], masks[k])):
+            n = int(by[j * 4 % 64 : j * 4 % 64 + 4], 16)
+            new += chr(low[m][0] + (ord(c) - low[m][0] + n) % low[m][1]) if m in low else c
+        parts[k] = new
+    return "".join(parts)
+
+
+def _mask(s):
+    return "".join("d" if c in "0123456789" else "l" if "a" <= c <= "z" else "U" if "A" <= c <= "Z" else "." for c in s)
+
+
+def _fill(form, symbols):
+    it = iter(symbols)
+    return "".join(next(it) if c.isascii() and c.isalnum() else c for c in form)
+
+
+def _luhn(d):
+    return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(d[::-1]))
+
+
+def _plain_pseudonym(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "email":
+        at = m.rindex(".") + 1
+        new = _text(m[:at].lower(), _mask(m[:at].lower()), "email")
+        return "".join(n.upper() if c.isupper() else n for c, n in zip(m[:at], new)) + m[at:]
+    if kind == "ip":
+        x = _int(int.from_bytes(bytes(map(int, m.split(".")))), 65536, 65536, "ip")
+        return ".".join(map(str, x.to_bytes(4)))
+    if kind == "ssn":
+        a, g, n = map(int, m.split("-"))
+        x = _int(((a - 1 - (a > 666)) * 99 + g - 1) * 9999 + n - 1, 898 * 99, 9999, "ssn")
+        a = x // (99 * 9999) + 1
+        return f"{a + (a >= 666):03}-{x // 9999 % 99 + 1:02}-{x % 9999 + 1:04}"
+    if kind == "date":
+        day = datetime.date(1800, 1, 1) + datetime.timedelta(_int((datetime.date.fromisoformat(m) - datetime.date(1800, 1, 1)).days, 189, 773, "date"))
+        return day.isoformat()
+    if kind == "nanp":
+        head = re.match(r"(\+?1[ .-]?(?=[(2-9]))?", m)[0]
+        return head + _fill(m[len(head) :], _text(re.sub("[^0-9]", "", m[len(head) :]), "nddndddddd", "nanp"))
+    if kind == "phone":
+        return _fill(m, _text(d, "xx" + "d" * (len(d) - 2), "phone"))
+    if kind == "card":
+        fixed = "xx" if d[0] == "2" else "x"
+        new = _text(d[:-1], fixed + "d" * (len(d) - 1 - len(fixed)), "card")
+        return _fill(m, new + str(-_luhn(new + "0") % 10))
+    s = m.replace(" ", "")
+    new = _text(s[4:], _mask(s[4:]), "iban")
+    check = 98 - int("".join(str(int(c, 36)) for c in new + s[:2] + "00")) % 97
+    return _fill(m, f"{s[:2]}{check:02}{new}")
+
+
+def test_pseudonyms_against_plain_code(spark):
+    rng = random.Random(21)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    values = []
+    for i in range(25):
+        values.append(("email", "".join(rng.choices("aBcD.9", k=3)).strip(".") + f"x{i}@Mail{i}.Example.com"))
+        values.append(("ip", ".".join(str(rng.randint(0, 255)) for _ in range(4))))
+        values.append(("ssn", f"{rng.randint(1, 665):03}-{rng.randint(1, 99):02}-{rng.randint(1, 9999):04}"))
+        values.append(("date", (datetime.date(1800, 1, 1) + datetime.timedelta(rng.randrange(146_097))).isoformat()))
+        values.append(("nanp", rng.choice(["+1 {}-{}-{}", "({}) {}-{}", "+1{}{}{}", "{}.{}.{}"]).format(f"{rng.randint(200, 999)}", f"{rng.randint(200, 999)}", digits(4))))
+        values.append(("phone", f"+4{rng.randint(1, 9)} {digits(4)} {digits(4)}"))
+        body = rng.choice(["22", "27", "4", "51", "6"]) + digits(13)
+        body = body[:15].ljust(15, "7")
+        values.append(("card", body + str(-_luhn(body + "0") % 10)))
+        bban = digits(18)
+        values.append(("iban", f"DE{98 - int(bban + '131400') % 97:02}{bban}"))
+    rows = [(i, f"see {v} here", "", "", 0) for i, (_, v) in enumerate(values)]
+    for r in pii.pseudonymised(docs(spark, rows)).withColumn("again", pii.kind_of(F.element_at("private", 1)["pseudonym"])).collect():
+        kind, value = values[r.doc_id]
+        assert [(x.kind, x.pseudonym) for x in r.private] == [(kind, _plain_pseudonym(kind, value))], value
+        assert r.text == f"see {r.private[0].pseudonym} here" and r.again == kind
+
+
+def test_pseudonyms_are_linked_across_forms(spark):
+    text = "Ann@Example.com ann@example.com; +1 212-555-0143, +12125550143, (212) 555-0143; 2221 0000 0000 0009 2221000000000009"
+    r = pii.pseudonymised(docs(spark, [(1, text, "", "", 0)])).first()
+    new = [x.pseudonym for x in r.private]
+    assert [x.kind for x in r.private] == "email email nanp nanp nanp card card".split()
+    assert new[0].lower() == new[1] and new[0][0].isupper()
+    plain = lambda s: re.sub("[^0-9]", "", s)[-10:]
+    assert plain(new[2]) == plain(new[3]) == plain(new[4]) and plain(new[5]) == plain(new[6])
+    assert all(x.startswith("222") or x[:2] == "22" for x in new[5:])
+
+
 def test_feistel_is_a_permutation(spark):
     out = spark.range(35).select(pii.permuted_int(F.col("id"), 5, 7, "k", "t").alias("x"))
     assert sorted(r.x for r in out.collect()) == list(range(35))
@@ -292,6 +401,14 @@ def test_near_pairs_finds_all_within_the_radius(spark):
     assert {(r.doc_id, r.class_id) for r in members.collect()} == {(i, rep[f]) for i, f in rows}
 
 
+def test_links_within_a_radius(spark):
+    rows = [(1, "one two three four five six seven eight", "", "", 0), (2, "one two three four five six seven eight", "", "", 0), (3, "other words than these there are none", "", "", 0), (4, None, "", "", 0)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in fingerprint.links_within(clashing(docs(spark, rows))).collect()}
+    assert got == {1: (1, 0), 2: (1, 0), 3: (3, 0), 4: (4, 0)}
+    prints = {i: int(fingerprint.fingerprint(t).hex(), 16) for i, t, *_ in rows if t}
+    assert (prints[1] ^ prints[3]).bit_count() > 7
+
+
 def test_fingerprints_odd_rows(spark):
     assert fingerprint.edit_fingerprints(clashing(docs(spark))).count() == len(ODD)
     one = fingerprint.edit_fingerprints(docs(spark, ODD[3:4])).first()
