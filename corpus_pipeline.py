@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, is written as
 Parquet into the folder the cluster shares, and is read again as the next one's
 docs. All but the last return the columns of documents.
+
+A null text stays null up to the last stage, where it counts as empty, and with
+empty texts makes one group of copies; a null source is a source of its own; a
+null doc_id is kept like any other. Of repeated rows one stays. Very long texts
+are read whole. Empty tables give an empty result. Further columns, whatever
+their names, go through all stages but the last.
 """
 
 from __future__ import annotations

@@ -2,42 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.sources.storage import shared_dir, stored  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One named table of a data folder, through Spark's reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="gridloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write df once into the shared folder and read it back: cuts lineage and survives lost executors.
-
-    One pass, where an eager checkpoint() would run the last stage twice. The
-    files go when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     """A stored df of narrow rows, marked for broadcast if it has at most so many rows; else joins shuffle it."""
     return F.broadcast(df) if df.count() <= most_rows else df

@@ -16,8 +16,8 @@ partition and source.
 
 Nulls: a null text has size 0; a null source is a source of its own, last in
 order; a null doc_id sorts first. An empty table gives an empty result.
-Repeated rows each count. Extra columns are ignored by ``mix_plan`` and kept by
-``mixed``.
+Repeated rows each count. Extra columns, whatever their names, are ignored by
+``mix_plan`` and kept by ``mixed``.
 """
 
 from __future__ import annotations
@@ -103,16 +103,15 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     """
     plan = mix_plan(docs, **settings)
     per_key = plan.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("alike"))
-    per_key = per_key.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_w"), F.col("copies").alias("_copies"), F.col("alike").alias("_alike"))
-    left = docs.withColumn("_size", size_of(F.col("text")))
-    both = left.join(per_key, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_w")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), size_of(F.col("text")).alias("words"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
+    both = rows.join(per_key, same)
     # Rows alike get the whole quotient each, and the first ones of them one more.
-    alone = both.filter("_alike = 1").withColumn("_n", F.col("_copies"))
-    shared = both.filter("_alike > 1")
-    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_w").orderBy(F.col("text"))) - 1
-    shared = shared.withColumn("_n", F.floor(F.col("_copies") / F.col("_alike")) + (nth < F.col("_copies") % F.col("_alike")).cast("long"))
-    out = alone.unionByName(shared).filter("_n > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns)
+    alone = both.filter("alike = 1").select("row", F.col("copies").alias("times"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("row.text")) - 1
+    shared = both.filter("alike > 1").select("row", (F.floor(F.col("copies") / F.col("alike")) + (nth < F.col("copies") % F.col("alike")).cast("long")).alias("times"))
+    out = alone.unionByName(shared).filter("times > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

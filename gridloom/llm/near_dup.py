@@ -91,7 +91,7 @@ def elements(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """A multiset as a set: the kth copy of a run has a name of its own. Ascending, so that sets can be merged."""
     parts, k = [hashes], 1
     while len(at := np.flatnonzero(counts > k)):
-        parts.append(_mix(hashes[at] + _C * np.uint64(k)))
+        parts.append(_mix(hashes[at] + _C * np.full(1, k, np.uint64)))
         k += 1
     return np.unique(np.concatenate(parts).view(np.int64))
 

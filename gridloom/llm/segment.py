@@ -29,7 +29,6 @@ exactly. Extra columns are ignored.
 from __future__ import annotations
 
 import bisect
-import gc
 import math
 import re
 from collections.abc import Iterable, Sequence
@@ -41,13 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .symbols import BASE, SALT, hashed, parts_of, powers, sums_of, symbols_of
+from .symbols import BASE, SALT, hashed, parts_of, powers, release, sums_of, symbols_of
 
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-#: Edges kept before lattices are forgotten, about 100 MB with their nodes and names.
-_MOST_EDGES = 2_000_000
+#: Edges kept before lattices are forgotten, about 60 MB with their nodes and names.
+_MOST_EDGES = 1_000_000
 _STEP = np.uint64(BASE)
 _M1, _M2, _S11 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(11)
 
@@ -415,22 +414,11 @@ def sample(lattices: Lattices, text: str, key: int, samples: int = SAMPLES) -> l
     return sample_batch(lattices, [text], [key], samples)[0]
 
 
-#: A Python worker runs many tasks; its lattices serve all those with the same vocabulary.
-_kept: list[tuple[list[bytes], Lattices]] = []
-
-
-def _lattices(vocabulary: Vocabulary) -> Lattices:
-    if not _kept or _kept[0][0] != vocabulary.bytes_:
-        _kept[:] = [(vocabulary.bytes_, Lattices(vocabulary))]
-        gc.freeze()  # the vocabulary's many small tables needn't be looked through again and again
-    return _kept[0][1]
-
-
 def _encoded(vocabulary: Vocabulary, samples: int):
     fields = [("doc_id", pa.int64()), ("sample", pa.int32()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("inclusion", pa.float64()), ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))]
 
     def run(batches):
-        lattices = _lattices(vocabulary)
+        lattices = Lattices(vocabulary)
         for b in batches:
             for part in parts_of(b, 1):
                 rows, all_ids = [], []
@@ -444,6 +432,8 @@ def _encoded(vocabulary: Vocabulary, samples: int):
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(all_ids).astype(np.int32)))
                 columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields[:-1], strict=True)]
                 yield pa.RecordBatch.from_arrays([*columns, lists], [n for n, _ in fields])
+        del lattices
+        release()
 
     return run
 

@@ -7,8 +7,8 @@ content belongs to the answer. A last pass emits the scores at or above that
 value, and ties go to the smaller id.
 
 Blocks bound the memory: vectors are packed into blocks of at most ROWS rows,
-queries into blocks of about QUERIES rows, and QUERY_BLOCKS of these (a size
-fixed by the constants and the dimension) are broadcast at a time. A block
+queries into blocks of about QUERIES rows, and at most QUERY_BLOCKS of these, of
+at most BROADCAST bytes, are broadcast at a time. A block
 contributes no bins below its own kth best score, which is never below the
 global one, and no more than k rows for each query to the last pass, so equal
 vectors, however many, aren't gathered anywhere.
@@ -17,7 +17,8 @@ Rows with a null id or vector, or with a null or non-finite component, take no
 part. Vectors of different lengths are compared as if padded with zeros; an
 empty vector scores 0. A query's own row is known by its id: rows with the same
 id aren't candidates for it. If an id repeats among the queries, its smallest
-vector is the query. Scores have to fit 53 bits. Empty tables give an empty
+vector is the query. Scores have to fit 53 bits; if they might not, ValueError
+is raised. Empty tables give an empty
 result; extra columns are ignored.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions, stored
 
 ROWS, QUERIES, QUERY_BLOCKS, BINS = 2048, 512, 64, 64
+BROADCAST = 64_000_000
 
 
 def quantised(vector: Column) -> Column:
@@ -123,7 +125,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     blocks = -(-(asked.n or 0) // QUERIES)
     # By Cauchy and Schwarz no score is beyond this.
     most = int(np.sqrt((facts.norm or 0.0) * (asked.norm or 0.0))) + 2
+    if most >= 1 << 53:
+        raise ValueError("scores may need more than 53 bits")
     step = -(-(2 * most) // BINS)
+    together = max(1, min(QUERY_BLOCKS, BROADCAST // (QUERIES * width * 8)))
     vectors = vectors.select("vec_id", "vector").repartition(shuffle_partitions(spark))
     packed = stored(vectors.mapInArrow(_packed(width), "ids binary, vectors binary"))
     asked_rows = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
@@ -134,8 +139,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         """Each block of vectors with each block of queries; broadcast chunks of bounded size."""
         groups = asked_rows.join(state, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "vector", "lo", "hi", "step", "need")).alias("queries"))
         out = None
-        for at in range(0, max(blocks, 1), QUERY_BLOCKS):
-            last = min(at + QUERY_BLOCKS, max(blocks, 1)) - 1
+        for at in range(0, max(blocks, 1), together):
+            last = min(at + together, max(blocks, 1)) - 1
             left = packed.withColumn("block", F.explode(F.sequence(F.lit(at), F.lit(last))))
             part = left.join(F.broadcast(groups.filter(F.col("block").between(at, last))), "block").mapInPandas(run, schema)
             out = part if out is None else out.unionByName(part)

@@ -53,6 +53,8 @@ def test_mixing_odd_rows(spark):
     out = mixing.mixed(docs(spark))
     assert out.columns == docs(spark).columns
     assert out.count() == sum(r.copies for r in plan)
+    more = mixing.mixed(clashing(docs(spark)))
+    assert more.columns == clashing(docs(spark)).columns and more.count() == out.count() and {r["_key"] for r in more.collect()} == {"x"}
     assert mixing.mix_plan(docs(spark, [])).count() == mixing.mixed(docs(spark, [])).count() == 0
 
 
@@ -321,7 +323,8 @@ def test_near_duplicates_against_brute_force(spark):
 def test_near_duplicates_odd_rows(spark):
     out = near_dup.near_duplicates(clashing(docs(spark))).collect()
     assert len(out) == len(ODD)
-    kept = near_dup.deduplicated(docs(spark)).collect()
+    kept = near_dup.deduplicated(clashing(docs(spark))).collect()
+    assert {r["_key"] for r in kept} == {"x"} == {r.key for r in kept}
     assert sorted(str((r.doc_id, (r.text or "")[:9])) for r in kept) == sorted(map(str, [(1, ""), (3, "long long"), (4, "the same "), (4, "another t"), (None, "no id her")]))
     assert near_dup.near_duplicates(docs(spark, [])).count() == near_dup.deduplicated(docs(spark, [])).count() == 0
 
@@ -438,6 +441,9 @@ def test_top_k_odd_rows(spark):
     df = df.select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
     got = topk.top_k(df, df.filter("vec_id = 0"), 5).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 5, 25 * 128 - 25 * 64), (0, 2, 5, 25 * 64)]
+    with pytest.raises(ValueError, match="53 bits"):
+        big = spark.createDataFrame([(0, [1 << 30]), (1, [1 << 30])], "vec_id long, vector array<long>")
+        topk.top_k(big, big, 1)
     assert topk.top_k(df.limit(0), df.limit(0), 5).count() == 0 and topk.top_k(df, df.limit(0), 5).count() == 0
 
 

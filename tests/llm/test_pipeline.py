@@ -5,7 +5,7 @@ import collections
 import pytest
 
 from gridloom.llm import near_dup, segment, toxicity
-from tests.llm.test_operators import DOCS, _components, _labelled
+from tests.llm.test_operators import DOCS, LONG, ODD, _components, _labelled, clashing, docs
 
 pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -40,3 +40,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in pieces} == set(counts)
     final = pipeline.run(spark, data)
     assert sorted(map(str, final.collect())) == sorted(map(str, pieces))
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    data = str(tmp_path)
+    spark.createDataFrame([(3, 1, 0), (4, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{data}/labels.parquet")
+    for name, rows in (("odd", clashing(docs(spark))), ("none", docs(spark, []))):
+        seen = rows
+        for k, (_, stage) in enumerate(pipeline.STAGES):
+            before = seen.columns
+            stage(spark, seen, data).write.parquet(f"{data}/{name}{k}")
+            seen = spark.read.parquet(f"{data}/{name}{k}")
+            assert k == len(pipeline.STAGES) - 1 or seen.columns == before
+        got = {r.doc_id for r in seen.collect()}
+        assert got <= ({r[0] for r in ODD} if name == "odd" else set())
+    unique = spark.read.parquet(f"{data}/odd2").collect()
+    assert len(unique) == 5 and sum(r.text == LONG for r in unique) == 1
