@@ -18,7 +18,11 @@ the strings that have it, a stretch of neighbouring starts, about 38 on average.
    each stretch goes on to be compared.
 3. Those are fetched as bytes, and their strings sorted by multikey quicksort on
    words of eight bytes within equal leading bytes and place of the anchor;
-   of equal strings all but the first go.
+   of equal strings all but the first go. An anchor that more than HOT different
+   stretches have is dealt out string by string, so that no task gets it whole.
+
+Buckets are as many as shuffles have partitions, or more, for BUCKET bytes of
+documents each.
 
 Stretches found equal in step 2 have equal 64-bit hashes of at most 177 bytes;
 no two different ones are expected among 10^9. Step 3 compares bytes.
@@ -35,15 +39,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stored
+from .common import shuffle_partitions, small_side, stored
 
 LENGTH, GRAM = 100, 24
 _WINDOW = LENGTH - GRAM + 1
 #: So many bytes of documents are looked at together, and so many documents sampled for the splitters.
 _CHUNK, _SAMPLE = 1 << 19, 400
+#: Anchors of a sampled document that are looked at; stretches of one anchor that go to one task; bytes of documents for a bucket.
+_LEADS, HOT, BUCKET = 256, 20_000, 64 << 20
 _WIDE = 1 << 62  # marks an anchor whose leading bytes fill several buckets
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -188,8 +195,18 @@ def _sorted_bucket(batches):
             )
 
 
+def _leads(batches):
+    """rid, text -> the leading bytes of some anchors of each, those of the smallest hashes."""
+    for _, texts in _chunks(batches):
+        a = anchors(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]))
+        order = np.lexsort((a["key"], a["doc"]))
+        doc = a["doc"][order]
+        place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+        yield pa.RecordBatch.from_arrays([pa.array(a["lead"][order][place < _LEADS].view(np.int64))], ["lead"])
+
+
 def _fetched(batches):
-    """rid, text, list of (start, length, inner, key) -> key, rid, start, inner, bytes."""
+    """rid, text, list of (start, length, inner, key, hot) -> key, rid, start, inner, bytes."""
     for b in batches:
         for at in range(0, b.num_rows, 200):
             part = b.slice(at, 200)
@@ -197,6 +214,15 @@ def _fetched(batches):
             for rid, text, rows in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2), strict=True):
                 v = rows.values
                 s, n, i, k = (v.field(x).to_numpy() for x in ("start", "length", "inner", "key"))
+                hot = v.field("hot").to_numpy(zero_copy_only=False)
+                if hot.any():  # string by string, named by itself and the anchor's place in it
+                    many = n[hot] - LENGTH + 1
+                    row = np.repeat(np.flatnonzero(hot), many)
+                    step = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                    at, inner = s[row] + step, i[row] - step
+                    names = [xxhash.xxh64_intdigest(text[x : x + LENGTH], y) for x, y in zip(at.tolist(), inner.tolist(), strict=True)]
+                    k = np.concatenate([k[~hot], np.array(names, np.uint64).view(np.int64)])
+                    s, i, n = np.concatenate([s[~hot], at]), np.concatenate([i[~hot], inner]), np.concatenate([n[~hot], np.full(len(row), LENGTH)])
                 keys.append(k)
                 starts.append(s)
                 inners.append(i)
@@ -327,16 +353,19 @@ def _release(spark) -> None:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """rid (distinct, ordered), text -> rid, start, length of repeats; spans may overlap."""
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark)
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    buckets = max(shuffle_partitions(spark), -(-size // BUCKET))
     some = docs.filter(F.length("text") > 0).orderBy(F.xxhash64("rid")).limit(_SAMPLE).select("rid", "text")
-    leads = [a["lead"] for _, texts in _chunks(some.toArrow().to_batches()) for a in [anchors(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]))]]
-    leads = np.sort(np.concatenate([np.empty(0, np.uint64), *leads]))
+    leads = np.sort(some.mapInArrow(_leads, "lead long").toArrow()["lead"].to_numpy().view(np.uint64))
     splitters = leads[np.arange(1, buckets) * len(leads) // buckets] if len(leads) else leads
     made = docs.select("rid", "text").mapInArrow(_anchored(splitters), "bucket int, key long, stretch long, rid long, at long")
     made = made.repartitionById(buckets, F.col("bucket")).mapInArrow(_sorted_bucket, "rid long, start long, length long, inner long, key long")
     first = stored(made)
     _release(spark)
-    asked = first.filter("key IS NOT NULL").groupBy("rid").agg(F.collect_list(F.struct("start", "length", "inner", "key")).alias("rows"))
+    asked = first.filter("key IS NOT NULL")
+    hot = small_side(stored(asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("key", F.lit(True).alias("hot"))), 100_000)
+    asked = asked.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    asked = asked.groupBy("rid").agg(F.collect_list(F.struct("start", "length", "inner", "key", "hot")).alias("rows"))
     fetched = docs.join(asked, "rid").select("rid", "text", "rows").mapInArrow(_fetched, "key long, rid long, start long, inner long, bytes binary")
     fetched = fetched.repartition(buckets, "key").sortWithinPartitions("key")
     second = stored(fetched.mapInArrow(_compared, "rid long, start long, length long"))

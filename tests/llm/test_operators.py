@@ -348,7 +348,9 @@ def _without_repeats(rows):
     return out
 
 
-def test_suffix_dedup_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [suffixes.HOT, 3])
+def test_suffix_dedup_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
     rng = random.Random(6)
     base = ["".join(rng.choices("abcd é", k=600)) for _ in range(4)]
     rows = []
