@@ -69,19 +69,6 @@ def _clean_sql(x: str) -> str:
     return x
 
 
-@_query(
-    rf"""WITH s AS (SELECT 'page' AS kind, page_id AS id, regexp_extract(html, '<h1>.*?</p>') AS raw FROM pages
-UNION ALL SELECT 'document', doc_id, split_part(text, chr(10), 1) FROM documents),
-c AS (SELECT kind, id, {_clean_sql("raw")} AS t FROM s)
-SELECT kind, id, CASE WHEN contains(lower(t), 'file:') THEN 'IMAGE' WHEN contains(lower(t), 'help:') THEN 'HELP_PAGE'
-  WHEN contains(lower(t), 'wikipedia:wikiproject') THEN 'WIKI_PROJ_PAGE' ELSE t END AS text FROM c"""
-)
-def clean_text(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.regexp_extract("html", "<h1>.*?</p>", 0).alias("raw"))
-    docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("raw"))
-    return pages.unionByName(docs).select("kind", "id", T.clean_cell(F.col("raw")).alias("text"))
-
-
 # A page's pieces begin at its blocks; none is left out.
 _BLOCK = r"(<(?:article|blockquote|dd|div|dt|footer|h[1-6]|header|li|nav|p|pre|section|table|td|th|title|tr)[\s>])"
 
@@ -94,7 +81,7 @@ c AS (SELECT kind, id, place, {_clean_sql("raw")} AS t FROM r)
 SELECT kind, id, place, CASE WHEN contains(lower(t), 'file:') THEN 'IMAGE' WHEN contains(lower(t), 'help:') THEN 'HELP_PAGE'
   WHEN contains(lower(t), 'wikipedia:wikiproject') THEN 'WIKI_PROJ_PAGE' ELSE t END AS text FROM c"""
 )
-def clean_text_all(spark, sf_dir):
+def clean_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.split(F.regexp_replace("html", _BLOCK, "\x01$1"), "\x01").alias("parts"))
     docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.split("text", "\n").alias("parts"))
     parts = pages.unionByName(docs).select("kind", "id", F.posexplode("parts").alias("place", "raw"))
@@ -188,9 +175,9 @@ def drop_sparse_rows(spark, sf_dir):
     return filters.sparse_rows(G.row_grid(spark, sf_dir))
 
 
-@_query(f"WITH {ROW_GRID} SELECT table_id, row_id FROM cells WHERE col_id IN (0, 2, 3) GROUP BY 1, 2 HAVING count(DISTINCT text) = 1")
+@_query(f"WITH {ROW_GRID} SELECT table_id, row_id FROM cells GROUP BY 1, 2 HAVING count(DISTINCT text) = 1")
 def drop_constant_rows(spark, sf_dir):
-    return filters.constant_rows(G.row_grid(spark, sf_dir).filter("col_id IN (0, 2, 3)"))
+    return filters.constant_rows(G.row_grid(spark, sf_dir))
 
 
 @_query(f"WITH {ROW_GRID} SELECT table_id, row_id FROM cells GROUP BY 1, 2 HAVING count(*) FILTER (contains(lower(text), 'total')) >= 2")
@@ -444,10 +431,10 @@ def duplicate_keys(spark, sf_dir):
     return stats.duplicate_keys(table(spark, sf_dir, "orders"), "o_custkey")
 
 
-@_query(f"""WITH {NATION_GRID}, f AS (SELECT table_id, n_type FROM (SELECT table_id, unnest(types) AS n_type FROM typed)),
-top AS (SELECT n_type FROM f GROUP BY 1 ORDER BY count(*) DESC, n_type LIMIT 3)
-SELECT table_id, count(*) FILTER (n_type IN (SELECT n_type FROM top)) AS generic_types, count(*) FILTER (n_type NOT IN (SELECT n_type FROM top)) AS specific_types FROM f GROUP BY 1""")
+@_query(f"""WITH {_TYPE_GRID_SQL}, f AS (SELECT table_id, unnest(types) AS n_type FROM tcells),
+top AS (SELECT n_type FROM f GROUP BY 1 ORDER BY count(*) DESC, n_type LIMIT {DEFAULT.generic_types})
+SELECT table_id, count(*) FILTER (top.n_type IS NOT NULL) AS generic_types, count(*) FILTER (top.n_type IS NULL) AS specific_types FROM f LEFT JOIN top USING (n_type) GROUP BY 1""")
 def generic_types(spark, sf_dir):
-    cells = _typed(spark, sf_dir)
-    top = ontology.popularity(cells.select(F.explode("types").alias("type")), "type", 3).select(F.col("cls").alias("type"))
+    cells = _type_grid(spark, sf_dir)
+    top = ontology.popularity(cells.select(F.explode("types").alias("type")), "type", DEFAULT.generic_types).select(F.col("cls").alias("type"))
     return link.generic_and_specific(cells, top)

@@ -42,9 +42,9 @@ def row_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         p,
         [
             (F.when(k % 11 == 0, "Grand Total").when(k % 13 == 0, "None").otherwise(F.col("p_name")), none),
-            (F.when(k % 22 == 0, "TOTAL").when(k % 13 == 0, "none").when(k % 5 == 0, "-").otherwise(F.col("p_type")), none),
+            (F.when(k % 22 == 0, "TOTAL").when(k % 13 == 0, "none").when(k % 7 == 0, F.col("p_name")).when(k % 5 == 0, "-").otherwise(F.col("p_type")), none),
             (F.when(k % 13 == 0, "None").when(k % 7 == 0, F.col("p_name")).when(k % 5 == 0, none).otherwise(F.col("p_size").cast("string")), none),
-            (F.when(k % 17 == 0, F.col("p_name")).when(k % 13 == 0, "NONE").otherwise(F.col("p_brand")), none),
+            (F.when((k % 17 == 0) | (k % 7 == 0), F.col("p_name")).when(k % 13 == 0, "NONE").otherwise(F.col("p_brand")), none),
         ],
     )
 
@@ -93,9 +93,9 @@ ROW_GRID = """
 p AS (SELECT *, p_brand AS table_id, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INTEGER) AS row_id, p_partkey AS k FROM part),
 cells AS (
   SELECT table_id, row_id, 0 AS col_id, CASE WHEN k % 11 = 0 THEN 'Grand Total' WHEN k % 13 = 0 THEN 'None' ELSE p_name END AS text FROM p
-  UNION ALL SELECT table_id, row_id, 1, CASE WHEN k % 22 = 0 THEN 'TOTAL' WHEN k % 13 = 0 THEN 'none' WHEN k % 5 = 0 THEN '-' ELSE p_type END FROM p
+  UNION ALL SELECT table_id, row_id, 1, CASE WHEN k % 22 = 0 THEN 'TOTAL' WHEN k % 13 = 0 THEN 'none' WHEN k % 7 = 0 THEN p_name WHEN k % 5 = 0 THEN '-' ELSE p_type END FROM p
   UNION ALL SELECT table_id, row_id, 2, CASE WHEN k % 13 = 0 THEN 'None' WHEN k % 7 = 0 THEN p_name WHEN k % 5 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END FROM p
-  UNION ALL SELECT table_id, row_id, 3, CASE WHEN k % 17 = 0 THEN p_name WHEN k % 13 = 0 THEN 'NONE' ELSE p_brand END FROM p)"""
+  UNION ALL SELECT table_id, row_id, 3, CASE WHEN k % 17 = 0 OR k % 7 = 0 THEN p_name WHEN k % 13 = 0 THEN 'NONE' ELSE p_brand END FROM p)"""
 NATION_GRID = """
 p AS (SELECT c.*, n.n_name, n.n_nationkey, n.n_regionkey, c_mktsegment AS table_id,
   CAST(row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS INTEGER) AS row_id FROM customer c JOIN nation n ON c_nationkey = n_nationkey),

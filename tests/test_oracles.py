@@ -41,7 +41,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the driver's tables")
-def test_clean_text_all_reads_every_line(spark):
-    out = catalog.QUERIES["clean_text_all"](spark, SMALL).filter("kind = 'document'")
+def test_clean_text_reads_every_line(spark):
+    out = catalog.QUERIES["clean_text"](spark, SMALL).filter("kind = 'document'")
     texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()
     assert out.count() == sum(r.text.count("\n") + 1 for r in texts if r.text is not None)
