@@ -18,5 +18,12 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """From now on Python workers get at most so many rows at once: texts may be long, and either side holds whole batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_side, stored
+from .common import small_batches, small_side, stored
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 24, 5
@@ -304,6 +304,7 @@ def roots_of(signed: DataFrame, docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, text -> doc_id, key, root, class_id for each row; root names the group, class_id is its smallest doc_id."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(rows.select("doc_id", key_of(F.col("text")).alias("key"), "text").mapInArrow(_signed, "doc_id long, key string, signature binary, size long"))
     roots = roots_of(signed, rows)

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
 from .symbols import BASE, SALT, hashed, parts_of, powers, release, sums_of, symbols_of
 
 SAMPLES = 2
@@ -451,6 +452,7 @@ def encode(docs: DataFrame, path: str | None = None, samples: int = SAMPLES) ->
     The vocabulary is read on the driver and travels with the tasks (its size is
     the model's). No shuffle.
     """
+    small_batches(docs.sparkSession)
     vocabulary = Vocabulary.load(path or model_path())
     schema = "doc_id long, sample int, n_tokens long, log_prob double, inclusion double, round_trip boolean, ids array<int>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encoded(vocabulary, samples), schema)
