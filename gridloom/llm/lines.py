@@ -120,12 +120,13 @@ def copies(docs: DataFrame, recurring: DataFrame, alike: float = ALIKE) -> DataF
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, variable: float = VARIABLE, by_group: bool = False) -> DataFrame:
     """For each text that loses lines: key (hash of the text), places (ascending). by_group: copies count as one."""
     _, lines = templates(parsed_lines(docs, depth), min_docs, variable)
-    gone = lines.join(_recurring(lines, ["template"], min_docs).select("template"), "template", "left_semi")
+    often = lambda x: small_side(stored(_recurring(x, ["template"], min_docs).select("template")), MOST_LEAVES)
+    gone = lines.join(often(lines), "template", "left_semi")
     if by_group:
         gone = stored(gone)
         roots = small_side(stored(copies(docs, gone)), MOST_TEXTS)
         counted = gone.join(roots, "key", "left").select("template", F.coalesce("root", "key").alias("key"))
-        gone = gone.join(_recurring(counted, ["template"], min_docs).select("template"), "template", "left_semi")
+        gone = gone.join(often(counted), "template", "left_semi")
     return gone.groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
