@@ -29,6 +29,10 @@ STOP_WORDS = tuple(
     "a about above after again against all am an and any are as at be because been before being below between both but by can did do does doing down during each few for from further had has have having he her here hers him his how i if in into is it its itself just me more most my no nor not now of off on once only or other our out over own same she should so some such than that the their them then there these they this those through to too under until up very was we were what when where which while who whom why will with you your".split()
 )
 
+# Letters that upper() makes two or three letters of and that have one as their upper case; the others of that sort have none.
+_SMALL = "ß" + "".join(map(chr, [*range(0x1F80, 0x1F88), *range(0x1F90, 0x1F98), *range(0x1FA0, 0x1FA8), 0x1FB3, 0x1FC3, 0x1FF3]))
+_CAPITAL = "ẞ" + "".join(map(chr, [*range(0x1F88, 0x1F90), *range(0x1F98, 0x1FA0), *range(0x1FA8, 0x1FB0), 0x1FBC, 0x1FCC, 0x1FFC]))
+
 
 def clean_cell(s: Column) -> Column:
     """Text of a cell without markup; kinds of pages as one word. Null stays null."""
@@ -42,9 +46,11 @@ def clean_cell(s: Column) -> Column:
 
 
 def normalize_link(s: Column) -> Column:
-    """Trimmed, spaces as underscores, first letter in upper case."""
+    """Trimmed, spaces as underscores, first letter in upper case: one letter for one, as in titles of pages and in DuckDB."""
     t = F.replace(F.trim(s), F.lit(" "), F.lit("_"))
-    return F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, F.lit(2), F.length(t)))
+    first = F.substring(t, 1, 1)
+    capital = F.when(F.length(F.upper(first)) == 1, F.upper(first)).otherwise(F.translate(first, _SMALL, _CAPITAL))
+    return F.concat(capital, F.substring(t, F.lit(2), F.length(t)))
 
 
 def clean_link(s: Column) -> Column:
