@@ -79,9 +79,13 @@ def popularity(objects: DataFrame, column: str, k: int | None = None) -> DataFra
 
 
 def relation(pairs: DataFrame, closed: DataFrame, depth: DataFrame) -> DataFrame:
-    """(a, b) -> + order: 0 equal, 1 if b is an ancestor of a, -1 if a is one of b, else the difference of depths."""
-    up = closed.select(F.col("sub").alias("a"), F.col("sup").alias("b"), F.lit(True).alias("up"))
-    down = closed.select(F.col("sup").alias("a"), F.col("sub").alias("b"), F.lit(True).alias("down"))
+    """(a, b) -> + order: 0 equal, 1 if b is an ancestor of a, -1 if a is one of b, else the difference of depths.
+
+    A closure has many rows for each class, which no estimate from its edges
+    tells, so it is always joined by sorting and never sent to all tasks.
+    """
+    up = closed.select(F.col("sub").alias("a"), F.col("sup").alias("b"), F.lit(True).alias("up")).hint("merge")
+    down = closed.select(F.col("sup").alias("a"), F.col("sub").alias("b"), F.lit(True).alias("down")).hint("merge")
     d = lambda s: depth.select(F.col("cls").alias(s), F.col("depth").alias(f"depth_{s}"))
     out = pairs.join(up, ["a", "b"], "left").join(down, ["a", "b"], "left").join(d("a"), "a", "left").join(d("b"), "b", "left")
     order = F.when(F.col("a") == F.col("b"), 0).when(F.col("up"), 1).when(F.col("down"), -1).otherwise(F.col("depth_a") - F.col("depth_b"))

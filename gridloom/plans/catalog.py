@@ -12,6 +12,7 @@ from gridloom.plans import grids as G
 from gridloom.plans.grids import HIERARCHY, NATION_GRID, PART_GRID, ROW_GRID
 from gridloom.plans.registry import ORACLES, QUERIES  # noqa: F401
 from gridloom.plans.registry import query as _query
+from gridloom.sources.storage import stored
 from gridloom.sources.tables import table
 
 _BLANK = "coalesce(text, '') IN ('', ' ', '-', 'None')"
@@ -263,7 +264,7 @@ SELECT a, b, CAST(CASE WHEN a = b THEN 0 WHEN u.sub IS NOT NULL THEN 1 WHEN d.su
 FROM pairs LEFT JOIN closed u ON u.sub = a AND u.sup = b LEFT JOIN closed d ON d.sub = b AND d.sup = a
 LEFT JOIN depth x ON x.cls = a LEFT JOIN depth y ON y.cls = b""")
 def class_relation(spark, sf_dir):
-    closed = ontology.closure(G.hierarchy(spark, sf_dir))
+    closed = stored(ontology.closure(G.hierarchy(spark, sf_dir)))  # read three times
     pairs = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
     return ontology.relation(pairs, closed, ontology.depths(closed))
 

@@ -3,6 +3,7 @@
 import bz2
 import gzip
 import json
+import re
 
 import duckdb
 import pytest
@@ -256,6 +257,15 @@ def test_larger_hierarchies_are_joined_level_by_level(spark):
     assert {tuple(r) for r in ontology.closure(edges).collect()} == {tuple(r) for r in ontology.closure(edges, 0).collect()}
 
 
+def test_relation_never_broadcasts_the_closure(spark):
+    closed = ontology.closure(spark.createDataFrame([(2, 1), (3, 1), (4, 2)], "sub long, sup long"))
+    pairs = spark.createDataFrame([(4, 1), (1, 4), (2, 2), (4, 3)], "a long, b long")
+    out = ontology.relation(pairs, closed, ontology.depths(closed))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"BroadcastHashJoin \[a#\d+L, b#\d+L\]", plan)
+    assert {tuple(r) for r in out.collect()} == {(4, 1, 1), (1, 4, -1), (2, 2, 0), (4, 3, 1)}
+
+
 def test_sinks(spark, tmp_path):
     g = grid(spark, [["h", "h2"], ["a", "b"], ["c", "d"]], headers=1)
     sinks.write_tables_csv(g, str(tmp_path / "csv"))
