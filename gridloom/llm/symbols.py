@@ -57,12 +57,12 @@ def names_of(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return (sums[ends] - sums[starts]) * powers(len(sums))[1][starts]
 
 
-def parts_of(b: pa.RecordBatch, column: int) -> Iterable[pa.RecordBatch]:
-    """Slices of at most TEXTS rows and, but for single texts, BYTES of a text column."""
+def parts_of(b: pa.RecordBatch, column: int, texts: int = TEXTS, most: int = BYTES) -> Iterable[pa.RecordBatch]:
+    """Slices of at most so many rows and, but for single texts, bytes of a text column."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0).to_pylist()
     at = many = 0
     for i, n in enumerate(sizes):
-        if i > at and (i - at == TEXTS or many + n > BYTES):
+        if i > at and (i - at == texts or many + n > most):
             yield b.slice(at, i - at)
             at, many = i, 0
         many += n

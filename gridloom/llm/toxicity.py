@@ -2,18 +2,19 @@
 
 Fitted on at most SAMPLE labelled documents (the smallest by a hash of doc_id,
 none of which is held out). All words of texts and examples weigh, and inverse
-document frequencies count all documents. Of the words and their first letters,
-at most TERMS that stand far more often in documents labelled toxic weigh BOOST
-times as much. The words of the examples are the index, in blocks of
+document frequencies count all documents. The words and first letters that
+stand far more often in documents labelled toxic weigh BOOST times as much, all
+of them. The words of the examples are the index, in blocks of
 neighbouring examples with each term's largest weight. What a query shares with
 the examples by rarer terms is summed over their postings. For the terms that
 most examples have, the block's largest weights say how much a block can still
 reach, and only blocks that can hold one of the K nearest are multiplied out,
 for some queries at once. That is done in single precision with a margin; what
 is left is summed again in double precision, so the K nearest are exact and
-don't depend on what else is in a batch. Words that no example has count in a
-text's norm; of those the OTHERS most frequent have their own frequency, the
-rest that of a word of one document. The votes are weighted by nearness, and a
+don't depend on what else is in a batch. Frequencies are learned for the words
+of the examples, all of them; a word that no example has can't meet one, and
+counts in a text's norm as a word of one document, whichever it is. The votes
+are weighted by nearness, and a
 monotone curve fitted on the examples themselves turns the vote into a
 probability. An example never votes for its own text, neither here nor there:
 for all other texts, equal or not, the score is a function of the text alone.
@@ -45,14 +46,15 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions, small_batches, stored
 from .symbols import names_of, parts_of, release, sums_of, symbols_of
 
-SAMPLE, TERMS, K, BLOCK = 20_000, 4096, 25, 64
-#: Terms of an example in so many or more are multiplied block by block, at most DENSE of them. Queries at once. Margin of single precision.
-OFTEN, DENSE, GROUP, MARGIN = 50, 512, 32, 2e-5
+SAMPLE, K, BLOCK = 20_000, 25, 64
+#: Terms of an example in so many or more are multiplied block by block, at most DENSE of them. Queries at once, and texts and bytes of which they are grouped. Margin of single precision.
+OFTEN, DENSE, GROUP, MARGIN = 50, 512, 64, 2e-5
+TEXTS, BYTES = 1000, 2_000_000
 #: A term needs so many toxic examples, such a likelihood ratio, and such a share of toxic ones.
 MIN_TOXIC, MIN_RATIO, MIN_SHARE = 3, 15.0, 0.5
 THRESHOLD = 0.3
-#: Weight of such a term; other words weigh 1. Words without an example whose frequencies are kept.
-BOOST, OTHERS = 100.0, 2_000_000
+#: Weight of such a term; other words weigh 1.
+BOOST = 100.0
 #: Names of a word's first letters are told from those of words by these.
 PREFIXES = {n: np.uint64(n * 0xA0761D6478BD642F % (1 << 64)) for n in (4, 5, 6, 8)}
 
@@ -168,33 +170,62 @@ def _ratio(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return 2 * out
 
 
+def _names(words: Words, telling: np.ndarray) -> np.ndarray:
+    """Of each text its words and telling first letters, once each. telling: ascending."""
+    names = [words.names]
+    for at, x in words.prefixes():
+        own = _among(telling, x) >= 0
+        names.append(_distinct(words.texts[at][own], x[own]))
+    return np.concatenate(names)
+
+
 def _met(telling: np.ndarray):
-    """(name, n): in how many texts of this partition a word or one of the telling first letters stands. telling: ascending."""
+    """(name, n): in how many texts of this partition a word or one of the telling first letters stands."""
 
     def found(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        words = Words(part.column(0).to_pylist())
-        names = [words.names]
-        for at, x in words.prefixes():
-            own = _among(telling, x) >= 0
-            names.append(_distinct(words.texts[at][own], x[own]))
-        names = np.concatenate(names)
+        names = _names(Words(part.column(0).to_pylist()), telling)
         return names, np.ones(len(names))
 
     return _counting(found, ["name", "n"])
 
 
+def _met_known(shared):
+    """The same of known names only, counted in place. shared: broadcast (known names, telling ones), ascending."""
+
+    def run(batches):
+        known, telling = shared.value
+        n = np.zeros(len(known), np.int64)
+        for b in batches:
+            for part in parts_of(b, 0):
+                at = _among(known, _names(Words(part.column(0).to_pylist()), telling))
+                np.add.at(n, at[at >= 0], 1)
+        some = np.flatnonzero(n)
+        for at in range(0, len(some), 100_000):
+            rows = some[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(known[rows].view(np.int64)), pa.array(n[rows])], ["name", "n"])
+        del n, some
+        release()
+
+    return run
+
+
 def _among(sorted_: np.ndarray, names: np.ndarray) -> np.ndarray:
     """The places of names in an ascending array, -1 for others."""
     if not len(sorted_):
         return np.full(len(names), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_, names), len(sorted_) - 1)
-    return np.where(sorted_[at] == names, at, -1)
+    # In order, neighbouring names are looked up in the same places.
+    order = np.argsort(names)
+    ascending = names[order]
+    at = np.minimum(np.searchsorted(sorted_, ascending), len(sorted_) - 1)
+    out = np.empty(len(names), np.int64)
+    out[order] = np.where(sorted_[at] == ascending, at, -1)
+    return out
 
 
 class Vocabulary:
-    """Numbers of terms: the telling ones, then the examples' other words by frequency, then others, and one for any further word."""
+    """Numbers of terms: the telling ones, then the examples' other words by frequency, and one for any other word."""
 
-    def __init__(self, telling: np.ndarray, names: np.ndarray, counts: np.ndarray, others: np.ndarray, other_counts: np.ndarray, n: int):
+    def __init__(self, telling: np.ndarray, names: np.ndarray, counts: np.ndarray, n: int):
         """telling: ascending; names, counts: of the examples' words and telling terms in all documents."""
         order = np.argsort(names)
         names, counts = names[order], counts[order]
@@ -206,18 +237,18 @@ class Vocabulary:
         names, counts = names[order], counts[order]
         self.telling = telling
         self.size = len(telling) + len(names)
-        every = np.concatenate([telling, names, others])
-        self.places = np.argsort(every, kind="stable").astype(np.int32)
-        self.sorted = every[self.places]
-        df = np.concatenate([own, counts, other_counts, [1]])
+        every = np.concatenate([telling, names])
+        order = np.argsort(every)
+        self.sorted = every[order]
+        self.places = np.append(order, len(every)).astype(np.int32)  # the last for any other word
+        df = np.concatenate([own, counts, [1]])
         self.idf = np.log((n + 1) / (df + 1)) + 1
         self.idf[: len(telling)] *= BOOST
 
     def vectors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(sizes, ids, counts) of all texts' terms, one text after another; unknown words have the last number, maybe repeated."""
         words = Words(texts)
-        at = _among(self.sorted, words.names)
-        ids = np.where(at >= 0, self.places[at], len(self.idf) - 1)
+        ids = self.places[_among(self.sorted, words.names)]
         owner, counts = [words.texts], [words.counts]
         ids = [ids]
         for place, names in words.prefixes():
@@ -240,50 +271,68 @@ def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(total) + np.repeat(starts - (np.cumsum(n) - n), n), n
 
 
+def _in_blocks(lengths: np.ndarray, ids: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """The order of examples in which likes come together."""
+    ends = np.cumsum(lengths)
+    heads = [np.sort(ids[e - m : e])[:32].tolist() for e, m in zip(ends, lengths)]
+    return np.array(sorted(range(len(lengths)), key=lambda i: (heads[i], names[i])), np.int64)
+
+
+def _by_term(lengths: np.ndarray, ids: np.ndarray, order: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of entries of each term, their examples' places, the entries) by term and place."""
+    place = np.empty(len(order), np.uint16 if len(order) <= 1 << 16 else np.int32)
+    place[order] = np.arange(len(order))
+    examples = np.repeat(place, lengths)
+    entries = np.lexsort((examples, ids))
+    return np.bincount(ids, minlength=terms), examples[entries], entries
+
+
 class BlockMaxIndex:
     """Unit vectors of examples by term, in blocks of neighbouring examples."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels, names, terms: int):
         lengths = np.array([len(x[0]) for x in vectors], np.int64)
         ids = np.concatenate([np.empty(0, np.int32), *(x[0].astype(np.int32) for x in vectors)])
-        self._fill(lengths, ids, np.concatenate([np.empty(0), *(x[1] for x in vectors)]), np.array(labels, float), np.array(names, np.int64), terms)
+        names = np.array(names, np.int64)
+        order = _in_blocks(lengths, ids, names)
+        sizes, examples, entries = _by_term(lengths, ids, order, terms)
+        self._fill(sizes, examples, np.concatenate([np.empty(0), *(x[1] for x in vectors)])[entries], np.array(labels, float)[order], names[order])
 
     @classmethod
-    def of(cls, lengths, ids, weights, labels, names, terms: int) -> BlockMaxIndex:
-        """The same from vectors one after another."""
+    def of(cls, sizes, examples, weights, labels, names) -> BlockMaxIndex:
+        """The same from entries by term and place."""
         out = cls.__new__(cls)
-        out._fill(lengths, ids, weights, labels.astype(float), names, terms)
+        out._fill(sizes, examples, weights, labels.astype(float), names)
         return out
 
-    def _fill(self, lengths, ids, weights, labels, names, terms: int) -> None:
-        n = len(lengths)
-        ends = np.cumsum(lengths)
-        heads = [np.sort(ids[e - m : e])[:32].tolist() for e, m in zip(ends, lengths)]
-        order = np.array(sorted(range(n), key=lambda i: (heads[i], names[i])), np.int64)  # likes come together
-        del heads
-        self.labels, self.names = labels[order], names[order]
+    def _fill(self, sizes, examples, weights, labels, names) -> None:
+        n, terms = len(labels), len(sizes)
+        self.labels, self.names = labels, names
         self.rank = np.argsort(np.argsort(self.names, kind="stable"), kind="stable")
         self.blocks = -(-n // BLOCK)
-        # By place of the example: where its terms are.
-        self.begins, self.ends = (ends - lengths)[order], ends[order]
-        self.ids, self.weights = ids, weights
-        place = np.empty(n, np.int32)
-        place[order] = np.arange(n, dtype=np.int32)
-        example = np.repeat(place, lengths)
-        often = np.bincount(self.ids, minlength=terms)
-        dense = np.sort(np.argsort(-often, kind="stable")[:DENSE])
-        self.dense = dense[often[dense] * OFTEN >= max(1, n)]
+        ids = np.repeat(np.arange(terms, dtype=np.int32), sizes)
+        dense = np.sort(np.argsort(-sizes, kind="stable")[:DENSE])
+        self.dense = dense[sizes[dense] * OFTEN >= max(1, n)]
         self.column = np.full(terms, -1, np.int16)
         self.column[self.dense] = np.arange(len(self.dense))
-        self.table = np.zeros((self.blocks * BLOCK, len(self.dense)), np.float32)
-        own = self.column[self.ids]
-        self.table[example[own >= 0], own[own >= 0]] = self.weights[own >= 0]
-        self.highest = self.table.reshape(self.blocks, BLOCK, len(self.dense)).max(axis=1) if n else np.zeros((0, len(self.dense)), np.float32)
-        # By term, those that aren't dense.
-        rest = np.flatnonzero(own < 0).astype(np.int32)
-        rest = rest[np.argsort(self.ids[rest], kind="stable")]
-        self.example, self.weight = example[rest], self.weights[rest].astype(np.float32)
-        self.starts = np.searchsorted(self.ids[rest], np.arange(terms + 1))
+        own = self.column[ids]
+        self.table = np.zeros((self.blocks, BLOCK, len(self.dense)), np.float32)
+        at = np.flatnonzero(own >= 0)
+        self.table.reshape(self.blocks * BLOCK, len(self.dense))[examples[at], own[at]] = weights[at]
+        self.highest = self.table.max(axis=1)
+        # By term, those that aren't dense: place and weight side by side.
+        rest = own < 0
+        self.postings = np.empty((int(rest.sum()), 2), np.float32)
+        self.postings[:, 0].view(np.int32)[:] = examples[rest]
+        self.postings[:, 1] = weights[rest]
+        self.postings = self.postings.view(np.int64).ravel()
+        self.starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
+        del own, at, rest
+        # By example, where its terms are.
+        order = np.argsort(examples, kind="stable")
+        self.ends = np.cumsum(np.bincount(examples, minlength=n))
+        self.begins = np.concatenate([[0], self.ends[:-1]]) if n else self.ends
+        self.ids, self.weights = ids[order], weights[order]
         self._spots = np.zeros(terms)
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without=None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -303,10 +352,11 @@ class BlockMaxIndex:
             for row, i in enumerate(group):
                 ids, weights = queries[i]
                 places, n = _spread(self.starts[ids], self.starts[ids + 1])
-                sums[row] = np.bincount(self.example[places], np.repeat(weights, n) * self.weight[places], sums.shape[1])
+                met = self.postings.take(places)
+                sums[row] = np.bincount(met.view(np.int32)[::2], np.repeat(weights, n) * met.view(np.float32)[1::2], sums.shape[1])
             reach = ahead[group] + sums.reshape(len(group), self.blocks, BLOCK).max(axis=2) + MARGIN
             done = np.zeros(self.blocks, bool)
-            done[np.argsort(-reach, axis=1, kind="stable")[:, : 1 + k // BLOCK]] = True
+            done[np.argpartition(-reach, min(k // BLOCK, self.blocks - 1), axis=1)[:, : 1 + k // BLOCK]] = True
             self._complete(sums, heads[group], done)
             barred = [(row, without[i]) for row, i in enumerate(group) if without is not None and without[i] >= 0]
             for row, place in barred:
@@ -314,7 +364,7 @@ class BlockMaxIndex:
             least = self._kth(sums, done, k)
             more = (reach >= least[:, None]).any(axis=0) & ~done
             if more.any():
-                self._complete(sums, heads[group], more)
+                self._complete(sums, heads[group], more, done)
                 done |= more
                 for row, place in barred:
                     sums[row, place] = 0
@@ -326,11 +376,14 @@ class BlockMaxIndex:
                 out[i] = self._exact(*queries[i], found, k)
         return out
 
-    def _complete(self, sums: np.ndarray, heads: np.ndarray, blocks: np.ndarray) -> None:
-        """Adds what the dense terms give in these blocks, neighbouring blocks at once."""
+    def _complete(self, sums: np.ndarray, heads: np.ndarray, blocks: np.ndarray, done: np.ndarray | None = None) -> None:
+        """Adds what the dense terms give in these blocks, neighbouring blocks at once; where many are wanted, in all that aren't done."""
+        table = self.table.reshape(self.blocks * BLOCK, heads.shape[1])
+        if 3 * blocks.sum() > len(blocks):
+            blocks[:] = True if done is None else ~done
         edges = np.flatnonzero(np.diff(np.concatenate([[0], blocks.astype(np.int8), [0]]))) * BLOCK
         for a, b in zip(edges[::2], edges[1::2], strict=True):
-            sums[:, a:b] += heads @ self.table[a:b].T
+            sums[:, a:b] += heads @ table[a:b].T
 
     @staticmethod
     def _kth(sums: np.ndarray, done: np.ndarray, k: int) -> np.ndarray:
@@ -342,8 +395,10 @@ class BlockMaxIndex:
         if not len(found):
             return found, np.empty(0)
         self._spots[ids] = weights
-        places, n = _spread(self.begins[found], self.ends[found])
-        cosines = np.round(np.add.reduceat(self._spots[self.ids[places]] * self.weights[places], np.cumsum(n) - n), 9)
+        begins, ends = self.begins[found], self.ends[found]
+        own = [slice(a, b) for a, b in zip(begins.tolist(), ends.tolist())]
+        products = self._spots.take(np.concatenate([self.ids[x] for x in own])) * np.concatenate([self.weights[x] for x in own])
+        cosines = np.round(np.add.reduceat(products, np.cumsum(ends - begins) - (ends - begins)), 9)
         self._spots[ids] = 0
         best = np.lexsort((self.rank[found], -cosines))[:k]
         best = best[cosines[best] > 0]
@@ -358,13 +413,16 @@ def _digest(text: str | None) -> int:
 
 
 class Model:
-    """The vocabulary with inverse document frequencies, and the examples; their index is made where it is used."""
+    """The vocabulary with inverse document frequencies, and the examples by term; their index is made where it is used."""
 
     def __init__(self, words: Vocabulary, names, labels, digests, lengths, ids, counts, prior: float, empty: float):
         """ids, counts: the examples' terms, one after another; prior: share of toxic ones; empty: that of those without terms."""
         self.words, self.prior, self.empty = words, prior, empty
-        self.names, self.labels, self.digests, self.lengths = names, labels, digests, lengths
-        self.packed = [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (ids, counts)]
+        full = np.flatnonzero(lengths)
+        order = _in_blocks(lengths[full], ids, names[full])
+        self.names, self.labels, self.digests = (x[full][order] for x in (names, labels, digests))
+        self.sizes, examples, entries = _by_term(lengths[full], ids, order, words.size)
+        self.packed = [(x.dtype, zlib.compress(x.tobytes(), 1)) for x in (examples, counts[entries].astype(np.int32))]
         self._index: BlockMaxIndex | None = None
 
     def __getstate__(self):
@@ -373,19 +431,24 @@ class Model:
     @property
     def index(self) -> BlockMaxIndex:
         if self._index is None:
-            ids, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
-            full = np.flatnonzero(self.lengths)
-            sizes, ids, weights = self.weighed(self.lengths[full], ids, counts)
+            examples, counts = (np.frombuffer(zlib.decompress(x), dtype) for dtype, x in self.packed)
+            weights = np.log(counts)
+            weights += 1
+            weights *= np.repeat(self.words.idf[: self.words.size], self.sizes)
             del counts
             # The examples' weights are kept in single precision, their products with a query's are added in double.
-            self._index = BlockMaxIndex.of(sizes, ids.astype(np.int32), weights.astype(np.float32), self.labels[full], self.names[full], self.words.size)
-            del sizes, ids, weights
-            self.packed = []  # not needed again where the index is
+            weights = (weights / np.sqrt(np.bincount(examples, weights * weights, len(self.names)))[examples]).astype(np.float32)
+            self._index = BlockMaxIndex.of(self.sizes, examples, weights, self.labels, self.names)
+            self._own = dict(zip(self.digests.tolist(), range(len(self.digests)), strict=True))
+            del examples, weights
             release()
-            digest = dict(zip(self.names[full].tolist(), self.digests[full].tolist(), strict=True))
-            self._own = {digest[n]: i for i, n in enumerate(self._index.names.tolist())}
         return self._index
 
+    def drop(self) -> None:
+        """Gives the index back. Idle workers live on and tasks are dealt to them in turn, so each would keep one."""
+        self._index = None
+        release()
+
     def weighed(self, sizes, ids, counts):
         """(sizes, ids, weights) of unit vectors without the words that no example has. sizes: none is 0."""
         if not len(sizes):
@@ -401,7 +464,9 @@ class Model:
     def votes(self, texts: list[str | None]) -> list[tuple[float, list[int]] | None]:
         """Of each text the vote of its nearest examples, but its own, and their names; none without a common word."""
         index = self.index
-        sizes, ids, counts = self.words.vectors(texts)
+        rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+        found = [self.words.vectors(part.column(0).to_pylist()) for part in parts_of(rows, 0)]
+        sizes, ids, counts = (np.concatenate([np.empty(0, np.int64), *(x[i] for x in found)]) for i in range(3))
         some = np.flatnonzero(sizes)
         sizes, ids, weights = self.weighed(sizes[some], ids, counts)
         ends = np.cumsum(sizes)
@@ -444,18 +509,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     found = texts.select("text", "label").mapInArrow(_counting(_labelled, ["name", "toxic", "clean"]), "name long, toxic long, clean long").groupBy("name").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     found = found.filter((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= MIN_SHARE * (F.col("toxic") + F.col("clean"))))
     # Of terms of equal counts the smaller name stays; the limit bounds what is collected.
-    rows = found.orderBy(F.col("toxic").desc(), "clean", "name").limit(4 * TERMS).collect()
-    rated = sorted(((_ratio(r.toxic, r.clean, toxic, clean), r.name) for r in rows), key=lambda x: (-x[0], x[1]))
-    telling = np.sort(np.array([t for r, t in rated if r >= MIN_RATIO][:TERMS], np.int64).view(np.uint64))
-    # For each name its texts: of all documents, and whether an example has it.
-    met = lambda texts: texts.mapInArrow(_met(telling), "name long, n long")
-    counted = stored(met(docs.select("text")).groupBy("name").agg(F.sum("n").alias("n")))
-    own = met(texts.select("text")).select("name").distinct()
-    mine = counted.join(own, "name", "left_semi").toArrow()
-    rest = counted.filter("n > 1").join(own, "name", "left_anti").orderBy(F.col("n").desc(), "name").limit(OTHERS).toArrow()
-    columns = lambda t: (t["name"].to_numpy().view(np.uint64), t["n"].to_numpy())
-    words = Vocabulary(telling, *columns(mine), *columns(rest), docs.count())
-    del mine, rest
+    rows = zip(*(x.to_pylist() for x in found.select("name", "toxic", "clean").toArrow().columns))  # of the sample's terms
+    telling = np.sort(np.array([name for name, t, c in rows if _ratio(t, c, toxic, clean) >= MIN_RATIO], np.int64).view(np.uint64))
+    # For each name that an example has: how many of all documents.
+    own = texts.select("text").mapInArrow(_met(telling), "name long, n long").select("name").distinct().toArrow()["name"].to_numpy().view(np.uint64)
+    known = docs.sparkSession.sparkContext.broadcast((np.sort(own), telling))
+    counted = docs.select("text").mapInArrow(_met_known(known), "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).toArrow()
+    words = Vocabulary(telling, counted["name"].to_numpy().view(np.uint64), counted["n"].to_numpy(), docs.count())
+    known.unpersist()
+    del own, counted
     vectors = texts.select("doc_id", "label", "text").mapInArrow(_example_vectors(words), "doc_id long, label int, digest long, ids array<int>, counts array<int>")
     found = vectors.orderBy("doc_id").toArrow().combine_chunks()  # at most ``sample`` rows
     names, labels_, digests = (found[c].to_numpy() for c in ("doc_id", "label", "digest"))
@@ -465,7 +527,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     prior = toxic / max(1, toxic + clean)
     empty = (none[True] + prior) / (none[True] + none[False] + 1)
     shared = docs.sparkSession.sparkContext.broadcast(Model(words, names, labels_, digests, lengths, ids, counts, prior, empty))
-    votes = texts.repartition(shuffle_partitions(docs.sparkSession)).select("label", "text").mapInArrow(_voted(shared), "vote double, label int").collect()
+    # Each task makes the index, so none is of a few texts.
+    votes = texts.repartition(min(shuffle_partitions(docs.sparkSession), 1 + (toxic + clean) // 1000)).select("label", "text").mapInArrow(_voted(shared), "vote double, label int").collect()
     return shared, fitted_curve([(r.vote, r.label) for r in votes], prior)
 
 
@@ -486,9 +549,10 @@ def _example_vectors(words: Vocabulary):
 def _voted(shared):
     def run(batches):
         for b in batches:
-            for part in parts_of(b, 1):
+            for part in parts_of(b, 1, TEXTS, BYTES):
                 rows = [(v[0], y) for v, y in zip(shared.value.votes(part.column(1).to_pylist()), part.column(0).to_pylist(), strict=True) if v]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.int32())], ["vote", "label"])
+        shared.value.drop()
 
     return run
 
@@ -506,7 +570,7 @@ def _scored(fitted):
 
     def run(batches):
         for b in batches:
-            for part in parts_of(b, 1):
+            for part in parts_of(b, 1, TEXTS, BYTES):
                 texts = part.column(1).to_pylist()
                 keys = [xxhash.xxh3_128_digest((t or "").encode()) for t in texts]
                 if len(memo) > 20_000:
@@ -519,10 +583,20 @@ def _scored(fitted):
     return run
 
 
+def _then_dropped(run, shared):
+    """Without the index at the end."""
+
+    def all_(batches):
+        yield from run(batches)
+        shared.value.drop()
+
+    return all_
+
+
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, score, evidence (doc_ids of the nearest examples) for each row of docs."""
     fitted = fit(docs, labels, sample)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scored(fitted), "doc_id long, score double, evidence array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_then_dropped(_scored(fitted), fitted[0]), "doc_id long, score double, evidence array<long>")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
@@ -536,12 +610,12 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     def kept(batches):
         scored = _scored(fitted)
         for b in batches:
-            for part in parts_of(b, at):
+            for part in parts_of(b, at, TEXTS, BYTES):
                 rows = pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, pa.int64()), part.column(at)], ["doc_id", "text"])
                 scores = [x.column(1) for x in scored([rows])]
                 yield part.filter(pa.compute.less(pa.chunked_array(scores, pa.float64()).combine_chunks(), threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(_then_dropped(kept, fitted[0]), docs.schema)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -498,6 +498,25 @@ def test_toxicity_looks_at_all_words(spark):
     assert got[6000].evidence[0] == free and got[6000].score > got[next(i for i, _, t in labels if not t)].score
 
 
+def test_toxicity_keeps_all_telling_terms(spark):
+    vile = " ".join(f"{a}{b}{c}" for a in "bcdfghjklmnpqrstvwxz" for b in "aeiouy" for c in ("rax", "rix", *[f"{x}{y}k" for x in "aeiou" for y in "lmnrstv"]))
+    free = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"{vile} {'x' * (i + 1)}" if n < 10 else f"plain words {'z' * (i + 1)}", "en", "s", 0) for n, i in enumerate(free)]
+    labels = spark.createDataFrame([(i, 1, int(n < 10)) for n, i in enumerate(free)], "doc_id long, quality int, toxic int")
+    model, _ = toxicity.fit(docs(spark, rows), labels)
+    assert len(model.value.words.telling) > len(vile.split()) > 4096
+    assert model.value.votes([f"{vile} x", "plain words"])[0][0] > 0.5
+
+
+def test_toxicity_words_that_no_example_has(spark):
+    """They weigh alike, whether the corpus is full of them or not."""
+    rows, labels = _labelled(300)
+    rows += [(6000 + i, f"{rows[0][1]} wuwuwu", "en", "s", 0) for i in range(50)] + [(7000, f"{rows[0][1]} yuyuyu", "en", "s", 0)]
+    out = toxicity.score(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    scores = {r.doc_id: r.score for r in out.collect() if r.doc_id >= 6000}
+    assert len(scores) == 51 and len(set(scores.values())) == 1
+
+
 def test_toxicity_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = toxicity.score(clashing(docs(spark)), none).collect()
