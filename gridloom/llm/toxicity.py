@@ -49,12 +49,13 @@ from .symbols import names_of, parts_of, release, sums_of, symbols_of
 SAMPLE, K, BLOCK = 20_000, 25, 64
 #: Terms of an example in so many or more are multiplied block by block, at most DENSE of them. Queries at once, and texts and bytes of which they are grouped. Margin of single precision.
 OFTEN, DENSE, GROUP, MARGIN = 50, 512, 64, 2e-5
-TEXTS, BYTES = 1000, 2_000_000
+TEXTS, BYTES = 2000, 8_000_000
 #: A term needs so many toxic examples, such a likelihood ratio, and such a share of toxic ones.
 MIN_TOXIC, MIN_RATIO, MIN_SHARE = 3, 15.0, 0.5
 THRESHOLD = 0.3
 #: Weight of such a term; other words weigh 1.
 BOOST = 100.0
+_TOP = np.uint64(48)
 #: Names of a word's first letters are told from those of words by these.
 PREFIXES = {n: np.uint64(n * 0xA0761D6478BD642F % (1 << 64)) for n in (4, 5, 6, 8)}
 
@@ -213,6 +214,15 @@ def _among(sorted_: np.ndarray, names: np.ndarray) -> np.ndarray:
     """The places of names in an ascending array, -1 for others."""
     if not len(sorted_):
         return np.full(len(names), -1, np.int64)
+    if len(sorted_) < 1 << 14:
+        # Most names aren't among few; their first bits tell.
+        near = np.zeros(1 << 16, bool)
+        near[sorted_ >> _TOP] = True
+        out = np.full(len(names), -1, np.int64)
+        some = np.flatnonzero(near[names >> _TOP])
+        at = np.minimum(np.searchsorted(sorted_, names[some]), len(sorted_) - 1)
+        out[some] = np.where(sorted_[at] == names[some], at, -1)
+        return out
     # In order, neighbouring names are looked up in the same places.
     order = np.argsort(names)
     ascending = names[order]
@@ -316,10 +326,10 @@ class BlockMaxIndex:
         self.column = np.full(terms, -1, np.int16)
         self.column[self.dense] = np.arange(len(self.dense))
         own = self.column[ids]
-        self.table = np.zeros((self.blocks, BLOCK, len(self.dense)), np.float32)
+        self.table = np.zeros((len(self.dense), self.blocks * BLOCK), np.float32)
         at = np.flatnonzero(own >= 0)
-        self.table.reshape(self.blocks * BLOCK, len(self.dense))[examples[at], own[at]] = weights[at]
-        self.highest = self.table.max(axis=1)
+        self.table[own[at], examples[at]] = weights[at]
+        self.highest = self.table.reshape(len(self.dense), self.blocks, BLOCK).max(axis=2)
         # By term, those that aren't dense: place and weight side by side.
         rest = own < 0
         self.postings = np.empty((int(rest.sum()), 2), np.float32)
@@ -341,7 +351,7 @@ class BlockMaxIndex:
         for i, (ids, weights) in enumerate(queries):
             at = self.column[ids]
             heads[i, at[at >= 0]] = weights[at >= 0]
-        ahead = heads @ self.highest.T
+        ahead = heads @ self.highest
         out: list = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
         if not self.blocks:
             return out
@@ -364,26 +374,24 @@ class BlockMaxIndex:
             least = self._kth(sums, done, k)
             more = (reach >= least[:, None]).any(axis=0) & ~done
             if more.any():
-                self._complete(sums, heads[group], more, done)
+                self._complete(sums, heads[group], more)
                 done |= more
                 for row, place in barred:
                     sums[row, place] = 0
                 least = self._kth(sums, done, k)
-            places = (np.flatnonzero(done)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            sums.reshape(len(group), self.blocks, BLOCK)[:, ~done] = 0
+            least = np.maximum(least - np.float32(MARGIN), np.finfo(np.float32).tiny)
             for row, i in enumerate(group):
-                mine = sums[row, places]
-                found = places[(mine >= least[row] - MARGIN) & (mine > 0)]
-                out[i] = self._exact(*queries[i], found, k)
+                out[i] = self._exact(*queries[i], np.flatnonzero(sums[row] >= least[row]), k)
         return out
 
-    def _complete(self, sums: np.ndarray, heads: np.ndarray, blocks: np.ndarray, done: np.ndarray | None = None) -> None:
-        """Adds what the dense terms give in these blocks, neighbouring blocks at once; where many are wanted, in all that aren't done."""
-        table = self.table.reshape(self.blocks * BLOCK, heads.shape[1])
-        if 3 * blocks.sum() > len(blocks):
-            blocks[:] = True if done is None else ~done
+    def _complete(self, sums: np.ndarray, heads: np.ndarray, blocks: np.ndarray) -> None:
+        """Adds what the dense terms give in these blocks, neighbouring blocks at once."""
+        terms = np.flatnonzero(heads.any(axis=0))  # texts of one language come together, and have few of the others' terms
+        heads = heads[:, terms]
         edges = np.flatnonzero(np.diff(np.concatenate([[0], blocks.astype(np.int8), [0]]))) * BLOCK
         for a, b in zip(edges[::2], edges[1::2], strict=True):
-            sums[:, a:b] += heads @ table[a:b].T
+            sums[:, a:b] += heads @ self.table[terms, a:b]
 
     @staticmethod
     def _kth(sums: np.ndarray, done: np.ndarray, k: int) -> np.ndarray:
@@ -432,8 +440,7 @@ class Model:
     def index(self) -> BlockMaxIndex:
         if self._index is None:
             examples, counts = (np.frombuffer(zlib.decompress(x), dtype) for dtype, x in self.packed)
-            weights = np.log(counts)
-            weights += 1
+            weights = (np.log(np.arange(1, 1 + counts.max(initial=0))) + 1)[counts - 1]
             weights *= np.repeat(self.words.idf[: self.words.size], self.sizes)
             del counts
             # The examples' weights are kept in single precision, their products with a query's are added in double.
@@ -528,7 +535,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     empty = (none[True] + prior) / (none[True] + none[False] + 1)
     shared = docs.sparkSession.sparkContext.broadcast(Model(words, names, labels_, digests, lengths, ids, counts, prior, empty))
     # Each task makes the index, so none is of a few texts.
-    votes = texts.repartition(min(shuffle_partitions(docs.sparkSession), 1 + (toxic + clean) // 1000)).select("label", "text").mapInArrow(_voted(shared), "vote double, label int").collect()
+    votes = texts.repartition(min(shuffle_partitions(docs.sparkSession), 1 + (toxic + clean) // 2000)).select("label", "text").mapInArrow(_voted(shared), "vote double, label int").collect()
     return shared, fitted_curve([(r.vote, r.label) for r in votes], prior)
 
 
