@@ -49,7 +49,7 @@ from .symbols import names_of, parts_of, release, sums_of, symbols_of
 SAMPLE, K, BLOCK = 20_000, 25, 64
 #: Terms of an example in so many or more are multiplied block by block, at most DENSE of them. Queries at once, and texts and bytes of which they are grouped. Margin of single precision.
 OFTEN, DENSE, GROUP, MARGIN = 50, 512, 64, 2e-5
-TEXTS, BYTES = 2000, 8_000_000
+TEXTS, BYTES = 1000, 3_000_000
 #: A term needs so many toxic examples, such a likelihood ratio, and such a share of toxic ones.
 MIN_TOXIC, MIN_RATIO, MIN_SHARE = 3, 15.0, 0.5
 THRESHOLD = 0.3
@@ -297,6 +297,16 @@ def _by_term(lengths: np.ndarray, ids: np.ndarray, order: np.ndarray, terms: int
     return np.bincount(ids, minlength=terms), examples[entries], entries
 
 
+def _pieces(sizes: np.ndarray):
+    """(place of the first entry, terms of the entries) of neighbouring terms, about 300,000 entries at once."""
+    ends = np.cumsum(sizes)
+    first = at = 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(ends, at + 300_000)))
+        yield at, np.repeat(np.arange(first, last, dtype=np.int32), sizes[first:last])
+        first, at = last, int(ends[last - 1])
+
+
 class BlockMaxIndex:
     """Unit vectors of examples by term, in blocks of neighbouring examples."""
 
@@ -320,29 +330,33 @@ class BlockMaxIndex:
         self.labels, self.names = labels, names
         self.rank = np.argsort(np.argsort(self.names, kind="stable"), kind="stable")
         self.blocks = -(-n // BLOCK)
-        ids = np.repeat(np.arange(terms, dtype=np.int32), sizes)
         dense = np.sort(np.argsort(-sizes, kind="stable")[:DENSE])
         self.dense = dense[sizes[dense] * OFTEN >= max(1, n)]
         self.column = np.full(terms, -1, np.int16)
         self.column[self.dense] = np.arange(len(self.dense))
-        own = self.column[ids]
+        # Of dense terms all examples' weights; of others, by term, place and weight side by side.
         self.table = np.zeros((len(self.dense), self.blocks * BLOCK), np.float32)
-        at = np.flatnonzero(own >= 0)
-        self.table[own[at], examples[at]] = weights[at]
-        self.highest = self.table.reshape(len(self.dense), self.blocks, BLOCK).max(axis=2)
-        # By term, those that aren't dense: place and weight side by side.
-        rest = own < 0
-        self.postings = np.empty((int(rest.sum()), 2), np.float32)
-        self.postings[:, 0].view(np.int32)[:] = examples[rest]
-        self.postings[:, 1] = weights[rest]
-        self.postings = self.postings.view(np.int64).ravel()
         self.starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
-        del own, at, rest
+        self.postings = np.empty(self.starts[-1], np.int64)
+        places, parts = self.postings.view(np.int32)[::2], self.postings.view(np.float32)[1::2]
         # By example, where its terms are.
-        order = np.argsort(examples, kind="stable")
         self.ends = np.cumsum(np.bincount(examples, minlength=n))
         self.begins = np.concatenate([[0], self.ends[:-1]]) if n else self.ends
-        self.ids, self.weights = ids[order], weights[order]
+        self.ids, self.weights = np.empty(len(examples), np.int32), np.empty_like(weights)
+        free, put = self.begins.copy(), 0
+        for at, ids in _pieces(sizes):  # a copy of all at once would be as large as the index
+            own, example, weight = self.column[ids], examples[at : at + len(ids)], weights[at : at + len(ids)]
+            self.table[own[own >= 0], example[own >= 0]] = weight[own >= 0]
+            rest = example[own < 0]
+            places[put : put + len(rest)], parts[put : put + len(rest)] = rest, weight[own < 0]
+            put += len(rest)
+            order = np.argsort(example, kind="stable")
+            example = example[order]
+            many = np.bincount(example, minlength=n)
+            to = free[example] + np.arange(len(example)) - (np.cumsum(many) - many)[example]
+            self.ids[to], self.weights[to] = ids[order], weight[order]
+            free += many
+        self.highest = self.table.reshape(len(self.dense), self.blocks, BLOCK).max(axis=2)
         self._spots = np.zeros(terms)
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without=None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -390,8 +404,10 @@ class BlockMaxIndex:
         terms = np.flatnonzero(heads.any(axis=0))  # texts of one language come together, and have few of the others' terms
         heads = heads[:, terms]
         edges = np.flatnonzero(np.diff(np.concatenate([[0], blocks.astype(np.int8), [0]]))) * BLOCK
-        for a, b in zip(edges[::2], edges[1::2], strict=True):
-            sums[:, a:b] += heads @ self.table[terms, a:b]
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            for c in range(a, b, 32 * BLOCK):
+                d = min(b, c + 32 * BLOCK)
+                sums[:, c:d] += heads @ self.table[terms, c:d]
 
     @staticmethod
     def _kth(sums: np.ndarray, done: np.ndarray, k: int) -> np.ndarray:
@@ -430,7 +446,7 @@ class Model:
         order = _in_blocks(lengths[full], ids, names[full])
         self.names, self.labels, self.digests = (x[full][order] for x in (names, labels, digests))
         self.sizes, examples, entries = _by_term(lengths[full], ids, order, words.size)
-        self.packed = [(x.dtype, zlib.compress(x.tobytes(), 1)) for x in (examples, counts[entries].astype(np.int32))]
+        self.packed = [(x.dtype, zlib.compress(x.tobytes(), 1)) for x in (examples, counts[entries].astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.int32))]
         self._index: BlockMaxIndex | None = None
 
     def __getstate__(self):
@@ -440,11 +456,17 @@ class Model:
     def index(self) -> BlockMaxIndex:
         if self._index is None:
             examples, counts = (np.frombuffer(zlib.decompress(x), dtype) for dtype, x in self.packed)
-            weights = (np.log(np.arange(1, 1 + counts.max(initial=0))) + 1)[counts - 1]
-            weights *= np.repeat(self.words.idf[: self.words.size], self.sizes)
-            del counts
+            logs, norms = np.log(np.arange(1, 1 + counts.max(initial=1))) + 1, np.zeros(len(self.names))
             # The examples' weights are kept in single precision, their products with a query's are added in double.
-            weights = (weights / np.sqrt(np.bincount(examples, weights * weights, len(self.names)))[examples]).astype(np.float32)
+            weights = np.empty(len(counts), np.float32)
+            for at, ids in _pieces(self.sizes):
+                w = logs[counts[at : at + len(ids)] - 1] * self.words.idf[ids]
+                norms += np.bincount(examples[at : at + len(ids)], w * w, len(norms))
+                weights[at : at + len(ids)] = w
+            del counts
+            norms = np.sqrt(norms)
+            for at in range(0, len(weights), 300_000):
+                weights[at : at + 300_000] /= norms[examples[at : at + 300_000]]
             self._index = BlockMaxIndex.of(self.sizes, examples, weights, self.labels, self.names)
             self._own = dict(zip(self.digests.tolist(), range(len(self.digests)), strict=True))
             del examples, weights
