@@ -473,11 +473,6 @@ class Model:
             release()
         return self._index
 
-    def drop(self) -> None:
-        """Gives the index back. Idle workers live on and tasks are dealt to them in turn, so each would keep one."""
-        self._index = None
-        release()
-
     def weighed(self, sizes, ids, counts):
         """(sizes, ids, weights) of unit vectors without the words that no example has. sizes: none is 0."""
         if not len(sizes):
@@ -509,6 +504,17 @@ class Model:
         return out
 
 
+def _drop(shared) -> None:
+    """Gives the broadcast model and its index back; the next task reads it again from the executor's file.
+
+    Idle workers live on, tasks are dealt to them in turn, and each would keep one, in the stages that follow too.
+    """
+    shared.value._index = None
+    if getattr(shared, "_path", None) is not None:
+        shared.__dict__.pop("_value", None)
+    release()
+
+
 def fitted_curve(votes: list[tuple[float, int]], prior: float) -> tuple[list[float], list[float]]:
     """Highest votes and shares of toxic ones of pooled neighbours: the best monotone fit. Each pool is shrunk by one vote at the prior."""
     pools: list[list[float]] = []
@@ -581,7 +587,7 @@ def _voted(shared):
             for part in parts_of(b, 1, TEXTS, BYTES):
                 rows = [(v[0], y) for v, y in zip(shared.value.votes(part.column(1).to_pylist()), part.column(0).to_pylist(), strict=True) if v]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.int32())], ["vote", "label"])
-        shared.value.drop()
+        _drop(shared)
 
     return run
 
@@ -617,7 +623,7 @@ def _then_dropped(run, shared):
 
     def all_(batches):
         yield from run(batches)
-        shared.value.drop()
+        _drop(shared)
 
     return all_
 
