@@ -41,15 +41,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import small_batches
-from .symbols import BASE, SALT, hashed, parts_of, powers, release, sums_of, symbols_of
+from .symbols import BASE, SALT, hashed, names_of, parts_of, powers, release, spread, sums_of, symbols_of
 
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
+#: A stretch that has its own lattice; chunks_of() finds them in whole arrays.
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 #: Edges kept before lattices are forgotten, about 60 MB with their nodes and names.
 _MOST_EDGES = 1_000_000
+#: Symbols, and but for single stretches more, that are named at once.
+_SYMBOLS = 1 << 18
 _STEP = np.uint64(BASE)
-_M1, _M2, _S11 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(11)
+_M1, _M2, _S11, _S45 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(11), np.uint64(45)
 
 
 class Vocabulary:
@@ -93,13 +96,14 @@ class Vocabulary:
             table[at] = left
             self.tables.append(table)
             left = left[table[at] != left]
+        self.written = pa.array(self.bytes_, pa.large_binary())
 
     @staticmethod
     def _slots(names: np.ndarray, turn: int) -> np.ndarray:
         return (names * np.uint64(pow(BASE, turn + 1, 1 << 64)) >> np.uint64(46)).astype(np.int64)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("singles", "tables")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("singles", "tables", "written")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -113,15 +117,18 @@ class Vocabulary:
             np.copyto(out, at, where=(at >= 0) & (self.names[at] == names))
         return out
 
-    def spelled(self, pieces: np.ndarray) -> np.ndarray:
-        """Ids of edges' pieces; a symbol outside the vocabulary (-1 less its code) becomes its bytes."""
-        low = int(pieces.min()) if len(pieces) else 0
-        if low >= -128:
-            return pieces if low >= 0 else np.where(pieces < 0, np.array(self.byte_ids, np.int32)[np.clip(-1 - pieces, 0, 127)], pieces)
-        out: list[int] = []
-        for x in pieces.tolist():
-            out += [x] if x >= 0 else [self.byte_ids[b] for b in chr(-1 - x).encode()]
-        return np.array(out, np.int32)
+    def spelled(self, pieces: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of edges' pieces, ends among them); a symbol outside the vocabulary (-1 less its code) becomes its bytes. ends: of stretches of edges."""
+        strange = np.flatnonzero(pieces < 0)
+        if not len(strange):
+            return pieces, ends
+        bytes_ = [chr(-1 - x).encode() for x in pieces[strange].tolist()]
+        many = np.ones(len(pieces), np.int64)
+        many[strange] = [len(x) for x in bytes_]
+        behind = np.concatenate([[0], np.cumsum(many)])
+        out = np.repeat(pieces, many)
+        out[spread(behind[strange], behind[strange + 1])[0]] = np.array(self.byte_ids, np.int32)[np.frombuffer(b"".join(bytes_), np.uint8)]
+        return out, behind[ends]
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -135,24 +142,47 @@ class Vocabulary:
         """The text of a segmentation: the leading space that encoding adds is taken off."""
         return b"".join(map(self.bytes_.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
+    def spells(self, ids: np.ndarray, ends: np.ndarray, texts: Iterable[str]) -> list[bool]:
+        """Whether each of these segmentations, one after another, has the bytes of its text behind the added space."""
+        written = self.written.take(pa.array(ids))
+        _, offsets, data = written.buffers()
+        at = np.frombuffer(offsets, np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        data = memoryview(data) if data else b""
+        return [bytes(data[a:b]) == ((" " + t).encode() if t else b"") for a, b, t in zip([0, *at], at, texts)]
+
+
+def chunks_of(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of stretches of each text, symbols, where stretches start among them), each text behind a space."""
+    sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+    symbols = symbols_of("".join([" " + t for t in texts if t]))
+    line, space = symbols == 10, symbols == 32
+    heads = line | space
+    heads[1:] &= line[1:] | ~space[:-1]
+    heads[1:] |= line[:-1]
+    ends = np.cumsum(sizes)
+    heads[(ends - sizes)[sizes > 0]] = True
+    starts = np.flatnonzero(heads)
+    return np.diff(np.searchsorted(starts, ends), prepend=0), symbols, starts
+
 
 class Lattices:
     """Nodes and edges of the lattices of chunks, in flat arrays. A node's edges are neighbours."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.starts: dict[str, int] = {}
         self.nodes = self.edges = 0
         self._full: tuple[int, int] | None = None  # nodes and edges that are kept, once there are enough
         self._names, self._numbers = np.empty(0, np.uint64), np.empty(0, np.int64)  # of kept nodes, by name
+        # Of stretches met before: by some bits of the name the first node, if no other has these bits.
+        self._table, self.name = np.full(1 << 19, -1, np.int32), np.empty(0, np.uint64)
         self.first = np.zeros(1, np.int64)  # by node: its first edge
         self.total = np.empty(0)  # by node: log-sum over all ways to the end
         # By edge: share of the node's edges up to this one; log of its share; next node (-1: end); piece.
         self.upto, self.log_p = np.empty(0), np.empty(0)
         self.target, self.piece = np.empty(0, np.int32), np.empty(0, np.int32)
 
-    def open(self, chunks: list[str]) -> np.ndarray:
-        """The first nodes of these chunks' lattices; the arrays hold until the next call.
+    def open(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The first nodes of the lattices of these stretches of symbols; the arrays hold until the next call.
 
         What was met first, and so most of what is frequent, is kept; beyond
         _MOST_EDGES lattices last for one call.
@@ -161,52 +191,69 @@ class Lattices:
             self.nodes, self.edges = self._full
         elif self.edges > _MOST_EDGES:
             self._full = self.nodes, self.edges
-        found = list(map(self.starts.get, chunks))
-        if None in found:
-            new = list({c for c, x in zip(chunks, found, strict=True) if x is None})
-            own = dict(zip(new, self._add(new), strict=True))
-            found = [own[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
-            if not self._full:
-                self.starts.update(own)
-        return np.array(found, np.int64)
+        ends = np.append(starts[1:], len(symbols))
+        names, at = np.empty(len(starts), np.uint64), 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + _SYMBOLS, side="right")))
+            a, b = int(starts[at]), int(ends[to - 1])
+            names[at:to] = names_of(sums_of(symbols[a:b]), starts[at:to] - a, ends[at:to] - a)
+            at = to
+        slots = (names * _STEP >> _S45).astype(np.int64)
+        found = self._table[slots].astype(np.int64)
+        if self.nodes:
+            found[self.name[found] != names] = -1
+        left = np.flatnonzero(found < 0)
+        if len(left):
+            every, where, which = np.unique(names[left], return_index=True, return_inverse=True)
+            own = self._kept(every)
+            new = np.flatnonzero(own < 0)
+            if len(new):
+                head, end = starts[left[where[new]]], ends[left[where[new]]]
+                own[new] = self._add(symbols[spread(head, end)[0]], end - head)
+            found[left] = own[which]
+            lasting = left if not self._full else left[found[left] < self._full[0]]
+            self._table[slots[lasting]] = found[lasting]
+        return found
+
+    def _kept(self, names: np.ndarray) -> np.ndarray:
+        """The numbers of kept nodes by name, -1 for names that none has; names: ascending."""
+        if not len(self._names):
+            return np.full(len(names), -1, np.int64)
+        at = np.minimum(np.searchsorted(self._names, names), len(self._names) - 1)
+        return np.where(self._names[at] == names, self._numbers[at], -1)
 
     def _room(self, nodes: int, edges: int) -> None:
-        for name, n in (("first", nodes + 1), ("total", nodes), ("upto", edges), ("log_p", edges), ("target", edges), ("piece", edges)):
+        for name, n in (("first", nodes + 1), ("name", nodes), ("total", nodes), ("upto", edges), ("log_p", edges), ("target", edges), ("piece", edges)):
             old = getattr(self, name)
             if len(old) < n:
                 more = np.empty(n + n // 2, old.dtype)
                 more[: len(old)] = old
                 setattr(self, name, more)
 
-    def _add(self, chunks: list[str]) -> list[int]:
-        """The first nodes of new chunks, made with all nodes behind them.
+    def _add(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The first nodes of new stretches, one after another, made with all nodes behind them.
 
         A node's sum over all ways to the end needs those of shorter ends only,
         so nodes are numbered and gone through by length.
         """
         v, base = self.v, self.nodes
-        symbols = symbols_of("".join(chunks))
-        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         ends = np.cumsum(sizes)
         place = np.arange(len(symbols))
-        length = np.repeat(ends, sizes) - place
+        behind = np.repeat(ends, sizes)
+        length = behind - place
         sums, down = sums_of(symbols), powers(len(symbols))[1]
-        names, where, which = np.unique((sums[np.repeat(ends, sizes)] - sums[:-1]) * down[: len(symbols)], return_index=True, return_inverse=True)
-        at = np.searchsorted(self._names, names)
-        known = np.zeros(len(names), bool)
-        if len(self._names):
-            at_ = np.minimum(at, len(self._names) - 1)
-            known = self._names[at_] == names
-        number = np.empty(len(names), np.int64)
-        number[known] = self._numbers[at[known]]
-        new = np.flatnonzero(~known)
+        names, where, which = np.unique((sums[behind] - sums[:-1]) * down[: len(symbols)], return_index=True, return_inverse=True)
+        number = self._kept(names)
+        new = np.flatnonzero(number < 0)
         new = new[np.argsort(length[where[new]], kind="stable")]
         number[new] = base + np.arange(len(new))
         numbers = number[which]
         if not self._full:
             by_name = np.sort(new)
-            self._names = np.insert(self._names, at[by_name], names[by_name])
-            self._numbers = np.insert(self._numbers, at[by_name], number[by_name])
+            at = np.searchsorted(self._names, names[by_name])
+            self._names = np.insert(self._names, at, names[by_name])
+            self._numbers = np.insert(self._numbers, at, number[by_name])
+        of_new = names[new]
         place, length = where[new], length[where[new]]
         # All stretches that a piece may cover, long ones first.
         many = np.minimum(length, v.longest)
@@ -227,6 +274,7 @@ class Lattices:
             row, ahead, weight, piece = row[order], ahead[order], weight[order], piece[order]
         n, start = len(row), self.edges
         self._room(base + len(new), start + n)
+        self.name[base : base + len(new)] = of_new
         first = np.searchsorted(row, np.arange(len(new) + 1))
         target = np.where(ahead == length[row], -1, numbers[np.minimum(place[row] + ahead, len(symbols) - 1)])
         total, log_p = self.total, self.log_p[start : start + n]
@@ -249,7 +297,7 @@ class Lattices:
         self.upto[start : start + n], self.target[start : start + n], self.piece[start : start + n] = upto, target, piece
         self.first[base : base + len(new) + 1] = start + first
         self.nodes, self.edges = base + len(new), start + n
-        return numbers[ends - sizes].tolist()
+        return numbers[ends - sizes]
 
     def siblings(self, edge: int) -> range:
         """All edges of this edge's node."""
@@ -329,11 +377,11 @@ class _Paths:
         self.best[i], self.at[i] = part[k], self.starts[i] + k
 
 
-def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int], samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float]]]:
-    """For each text up to ``samples`` different segmentations, best value first: (piece ids, log-probability, inclusion probability)."""
-    split = [_CHUNK.findall(" " + t) if t else [] for t in texts]
-    sizes = np.array([len(x) for x in split], np.int64)
-    starts = lattices.open([c for x in split for c in x])
+def sample_flat(lattices: Lattices, texts: Sequence[str], keys: Sequence[int], samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray, list[tuple[int, float, float]]]:
+    """Of each text up to ``samples`` different segmentations, best value first: all piece ids, where each ends, (place of the text, log-probability, inclusion probability)."""
+    sizes, symbols, heads = chunks_of(texts)
+    starts = lattices.open(symbols, heads)
+    del symbols, heads
     begins = np.cumsum(sizes) - sizes
     keys_ = hashed(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + SALT)
     seeds = lambda turn: hashed(keys_ + np.uint64(turn * int(_M2) % (1 << 64)))
@@ -358,27 +406,35 @@ def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int],
         if turn == samples or not len(going):
             break
         heads, firsts, inner, tails = [], [], [], []
+        takens = []
         for text in going.tolist():
-            v, p, i = best[text]
+            _, p, i = best[text]
+            at = int(paths[-p].at[i])
+            takens.append(paths[-p].excluded.setdefault(at, [int(paths[-p].edge[at])]))
+        taken_n = np.array([len(x) for x in takens], np.uint64)
+        draws = _uniform(seeds(4 * turn)[going] + taken_n).tolist()
+        masses = np.full(len(going), -np.inf)
+        for n, (text, taken) in enumerate(zip(going.tolist(), takens, strict=True)):
+            _, p, i = best[text]
             path = paths[-p]
             at = int(path.at[i])
-            taken = path.excluded.setdefault(at, [int(path.edge[at])])
             left = [e for e in lattices.siblings(taken[0]) if e not in taken]
             shares = list(accumulate(np.exp(lattices.log_p[left]).tolist()))
-            u = _uniform(seeds(4 * turn)[text : text + 1] + np.uint64(len(taken)))[0]
-            k = min(len(left) - 1, bisect.bisect_right(shares, u * shares[-1]))
+            k = min(len(left) - 1, bisect.bisect_right(shares, draws[n] * shares[-1]))
             taken.append(left[k])
             # What is still open there, below the value just used.
             rest = shares[-1] - math.exp(lattices.log_p[left[k]]) if len(left) > 1 else 0.0
-            again = -math.inf
             if rest > 0:
-                again = float(_truncated(np.array([path.before[at] + math.log(rest)]), np.array([v]), seeds(4 * turn + 1)[text : text + 1] + np.uint64(len(taken)))[0])
+                masses[n] = path.before[at] + math.log(rest)
             place = at - int(path.starts[i])
             heads.append((path.chunk[path.starts[i] : at + 1], np.append(path.edge[path.starts[i] : at], left[k])))
-            path.reopen(i, at, again)
             firsts.append(place + 1)
             inner.append(int(lattices.target[left[k]]))
             tails.append(int(path.chunk[at]) + 1)
+        again = _truncated(masses, last[going], seeds(4 * turn + 1)[going] + taken_n + np.uint64(1))
+        for text, value in zip(going.tolist(), again.tolist(), strict=True):
+            _, p, i = best[text]
+            paths[-p].reopen(i, int(paths[-p].at[i]), value)
         # The rest of the chunk that holds the node, then the later chunks anew.
         ends = begins[going] + sizes[going]
         later = np.concatenate([np.arange(a, b) for a, b in zip(tails, ends.tolist(), strict=True)]).astype(np.int64)
@@ -397,16 +453,26 @@ def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int],
         paths.append(_Paths(going, text, np.concatenate(all_chunks), np.concatenate(all_edges), np.array(firsts), last[going], seeds(4 * turn + 3)[going], lattices))
         for i, text in enumerate(going.tolist()):
             where[text].append((len(paths) - 1, i))
-    out = []
+    rows, edges = [], []
     for text, w in enumerate(where):
-        got = []
+        threshold = last[text]
         for p, i in w:
             path = paths[p]
             log_p = float(path.log_p[i])
-            threshold = last[text]
             included = 1.0 if not math.isfinite(threshold) else -math.expm1(-math.exp(min(700.0, log_p - threshold)))
-            got.append((lattices.v.spelled(lattices.piece[path.edge[path.starts[i] : path.ends[i]]]), log_p, included))
-        out.append(got)
+            rows.append((text, log_p, included))
+            edges.append(path.edge[path.starts[i] : path.ends[i]])
+    ends = np.cumsum([len(x) for x in edges], dtype=np.int64)
+    pieces = lattices.piece[np.concatenate([np.empty(0, np.int64), *edges])]
+    return *lattices.v.spelled(pieces, ends), rows
+
+
+def sample_batch(lattices: Lattices, texts: Sequence[str], keys: Sequence[int], samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float]]]:
+    """For each text its segmentations: (piece ids, log-probability, inclusion probability)."""
+    ids, ends, rows = sample_flat(lattices, texts, keys, samples)
+    out: list[list[tuple[np.ndarray, float, float]]] = [[] for _ in texts]
+    for a, b, (text, log_p, included) in zip([0, *ends.tolist()], ends.tolist(), rows):
+        out[text].append((ids[a:b], log_p, included))
     return out
 
 
@@ -422,16 +488,16 @@ def _encoded(vocabulary: Vocabulary, samples: int):
         lattices = Lattices(vocabulary)
         for b in batches:
             for part in parts_of(b, 1):
-                rows, all_ids = [], []
                 doc_ids, texts = part.column(0).to_pylist(), [x or "" for x in part.column(1).to_pylist()]
-                made = sample_batch(lattices, texts, [-1 if x is None else x for x in doc_ids], samples)
-                for doc_id, text, got in zip(doc_ids, texts, made, strict=True):
-                    for k, (ids, log_p, included) in enumerate(got, 1):
-                        rows.append((doc_id, k, len(ids), log_p, included, vocabulary.decode(ids.tolist()) == text))
-                        all_ids.append(ids)
-                ends = np.cumsum([0, *(len(x) for x in all_ids)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(all_ids).astype(np.int32)))
-                columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields[:-1], strict=True)]
+                ids, ends, rows = sample_flat(lattices, texts, [-1 if x is None else x for x in doc_ids], samples)
+                text, log_p, included = zip(*rows, strict=True)
+                ends = np.concatenate([[0], ends])
+                places = np.array(text)
+                first = np.flatnonzero(np.diff(places, prepend=-1))
+                numbers = 1 + np.arange(len(places)) - np.repeat(first, np.diff(np.append(first, len(places))))
+                whole = vocabulary.spells(ids, ends[1:], (texts[i] for i in text))
+                columns = [pa.array(c, t) for c, (_, t) in zip(([doc_ids[i] for i in text], numbers, np.diff(ends), log_p, included, whole), fields[:-1], strict=True)]
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32, copy=False)))
                 yield pa.RecordBatch.from_arrays([*columns, lists], [n for n, _ in fields])
         del lattices
         release()

@@ -57,6 +57,13 @@ def names_of(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return (sums[ends] - sums[starts]) * powers(len(sums))[1][starts]
 
 
+def spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, lengths): the ranges starts..ends one after another."""
+    n = ends - starts
+    total = int(n.sum())
+    return np.arange(total) + np.repeat(starts - (np.cumsum(n) - n), n), n
+
+
 def parts_of(b: pa.RecordBatch, column: int, texts: int = TEXTS, most: int = BYTES) -> Iterable[pa.RecordBatch]:
     """Slices of at most so many rows and, but for single texts, bytes of a text column."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0).to_pylist()

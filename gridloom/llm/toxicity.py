@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, small_batches, stored
-from .symbols import names_of, parts_of, release, sums_of, symbols_of
+from .symbols import names_of, parts_of, release, spread, sums_of, symbols_of
 
 SAMPLE, K, BLOCK = 20_000, 25, 64
 #: Terms of an example in so many or more are multiplied block by block, at most DENSE of them. Queries at once, and texts and bytes of which they are grouped. Margin of single precision.
@@ -274,13 +274,6 @@ class Vocabulary:
         return np.bincount(owner, minlength=len(texts)), ids[order], counts[order]
 
 
-def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, lengths): the ranges starts..ends one after another."""
-    n = ends - starts
-    total = int(n.sum())
-    return np.arange(total) + np.repeat(starts - (np.cumsum(n) - n), n), n
-
-
 def _in_blocks(lengths: np.ndarray, ids: np.ndarray, names: np.ndarray) -> np.ndarray:
     """The order of examples in which likes come together."""
     ends = np.cumsum(lengths)
@@ -375,7 +368,7 @@ class BlockMaxIndex:
             sums = np.empty((len(group), self.blocks * BLOCK), np.float32)
             for row, i in enumerate(group):
                 ids, weights = queries[i]
-                places, n = _spread(self.starts[ids], self.starts[ids + 1])
+                places, n = spread(self.starts[ids], self.starts[ids + 1])
                 met = self.postings.take(places)
                 sums[row] = np.bincount(met.view(np.int32)[::2], np.repeat(weights, n) * met.view(np.float32)[1::2], sums.shape[1])
             reach = ahead[group] + sums.reshape(len(group), self.blocks, BLOCK).max(axis=2) + MARGIN

@@ -179,6 +179,35 @@ def test_samples_are_the_same_to_the_last_bit_in_any_batch(vocabulary):
     assert plain(want) == plain(one) == plain(back)
 
 
+def test_stretches_found_in_arrays_are_those_of_the_pattern(vocabulary, monkeypatch):
+    rng = random.Random(8)
+    texts = ["", " ", "\n", "a ", " b", "  ", "é\n\n 日"] + ["".join(rng.choices("ab \n\té日\U0001f600", k=rng.randint(0, 40))) for _ in range(200)]
+    want = [segment._CHUNK.findall(" " + t) if t else [] for t in texts]
+    sizes, symbols, starts = segment.chunks_of(texts)
+    all_ = "".join(map(chr, symbols))
+    assert sizes.tolist() == [len(x) for x in want]
+    assert [all_[a:b] for a, b in zip(starts, [*starts[1:], len(all_)])] == [c for x in want for c in x]
+    nodes = segment.Lattices(vocabulary).open(symbols, starts)
+    assert len(set(nodes.tolist())) == len({c for x in want for c in x})  # equal stretches share a node, others don't
+    monkeypatch.setattr(segment, "_SYMBOLS", 5)
+    monkeypatch.setattr(segment, "_MOST_EDGES", 10)
+    lattices = segment.Lattices(vocabulary)
+    for _ in range(3):
+        found = lattices.open(symbols, starts)
+        assert len({*zip(found.tolist(), nodes.tolist())}) == len(set(nodes.tolist())) == len(set(found.tolist()))
+
+
+def test_pieces_of_many_segmentations_are_spelled_and_compared_at_once(vocabulary):
+    texts = ["the é", "", "日本\U0001f600\n", "ab"]
+    ids, ends, rows = segment.sample_flat(segment.Lattices(vocabulary), texts, [1, 2, 3, 4], 2)
+    parts = [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)]
+    own = [texts[i] for i, _, _ in rows]
+    assert [vocabulary.decode(x) for x in parts] == own and set(own) == set(texts)
+    assert vocabulary.spells(ids, ends, own) == [True] * len(own)
+    assert vocabulary.spells(ids, ends, [t + "x" for t in own]) == [False] * len(own)
+    assert vocabulary.spells(ids[:0], ends[:1] * 0, [""]) == [True]
+
+
 def test_multikey_order_sorts_bytes():
     rng = random.Random(4)
     rows = [bytes(rng.choice(b"ab") for _ in range(24)) for _ in range(300)] + [b"a" * 24] * 20
