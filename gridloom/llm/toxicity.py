@@ -50,6 +50,8 @@ SAMPLE, K, BLOCK = 20_000, 25, 64
 #: Terms of an example in so many or more are multiplied block by block, at most DENSE of them. Queries at once, and texts and bytes of which they are grouped. Margin of single precision.
 OFTEN, DENSE, GROUP, MARGIN = 50, 512, 64, 2e-5
 TEXTS, BYTES = 1000, 3_000_000
+#: Postings of terms with fewer are gathered together.
+FEW = 80
 #: A term needs so many toxic examples, such a likelihood ratio, and such a share of toxic ones.
 MIN_TOXIC, MIN_RATIO, MIN_SHARE = 3, 15.0, 0.5
 THRESHOLD = 0.3
@@ -82,13 +84,18 @@ class Words:
         starts, stops = edges[::2], edges[1::2]
         sums = sums_of(symbols)
         names = names_of(sums, starts, stops)
-        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in low])).tolist()
-        found = [np.unique(names[a:b], return_index=True, return_counts=True) for a, b in zip([0, *ends], ends)]
-        none = [np.empty(0, np.int64)]
-        self.sizes = np.array([len(x[0]) for x in found], np.int64)
-        self.names = np.concatenate([np.empty(0, np.uint64), *(x[0] for x in found)])
-        self.counts = np.concatenate(none + [x[2] for x in found])
-        first = np.concatenate(none + [x[1] + a for x, a in zip(found, [0, *ends])])
+        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in low]))
+        order = np.empty(len(names), np.int64)
+        for a, b in zip([0, *ends.tolist()], ends.tolist()):
+            order[a:b] = names[a:b].argsort()
+            order[a:b] += a
+        names = names[order]
+        new = np.ones(len(names), bool)
+        new[1:] = names[1:] != names[:-1]
+        new[ends[ends < len(names)]] = True
+        at = np.flatnonzero(new)
+        self.sizes = np.diff(np.searchsorted(at, ends), prepend=0)
+        self.names, self.counts, first = names[at], np.diff(np.append(at, len(names))), order[at]
         self._starts, self._lengths, self._sums = starts[first], (stops - starts)[first], sums
         self.texts = np.repeat(np.arange(len(texts)), self.sizes)
 
@@ -195,16 +202,16 @@ def _met_known(shared):
 
     def run(batches):
         known, telling = shared.value
-        n = np.zeros(len(known), np.int64)
+        places, n = _Places(known), np.zeros(len(known), np.int64)
         for b in batches:
             for part in parts_of(b, 0):
-                at = _among(known, _names(Words(part.column(0).to_pylist()), telling))
+                at = places.find(_names(Words(part.column(0).to_pylist()), telling))
                 np.add.at(n, at[at >= 0], 1)
         some = np.flatnonzero(n)
         for at in range(0, len(some), 100_000):
             rows = some[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(known[rows].view(np.int64)), pa.array(n[rows])], ["name", "n"])
-        del n, some
+        del places, n, some
         release()
 
     return run
@@ -223,13 +230,27 @@ def _among(sorted_: np.ndarray, names: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(sorted_, names[some]), len(sorted_) - 1)
         out[some] = np.where(sorted_[at] == names[some], at, -1)
         return out
-    # In order, neighbouring names are looked up in the same places.
-    order = np.argsort(names)
-    ascending = names[order]
-    at = np.minimum(np.searchsorted(sorted_, ascending), len(sorted_) - 1)
-    out = np.empty(len(names), np.int64)
-    out[order] = np.where(sorted_[at] == ascending, at, -1)
-    return out
+    return _Places(sorted_).find(names)
+
+
+class _Places:
+    """The places of names in an ascending array, found by their first bits."""
+
+    def __init__(self, sorted_: np.ndarray):
+        bits = max(1, len(sorted_).bit_length())
+        self.shift, self.size = np.uint64(64 - bits), len(sorted_)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount((sorted_ >> self.shift).astype(np.int64), minlength=1 << bits))]).astype(np.int32)
+        self.sorted = np.append(sorted_, np.uint64((1 << 64) - 1))  # an end that no name is beyond
+
+    def find(self, names: np.ndarray) -> np.ndarray:
+        """-1 for names that aren't there."""
+        at = self.starts[names >> self.shift].astype(np.int64)
+        below = np.flatnonzero(self.sorted[at] < names)
+        while len(below):
+            at[below] += 1
+            below = below[self.sorted[at[below]] < names[below]]
+        at[(self.sorted[at] != names) | (at == self.size)] = -1
+        return at
 
 
 class Vocabulary:
@@ -254,11 +275,21 @@ class Vocabulary:
         df = np.concatenate([own, counts, [1]])
         self.idf = np.log((n + 1) / (df + 1)) + 1
         self.idf[: len(telling)] *= BOOST
+        self._found: _Places | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_found": None}
+
+    def forget(self) -> None:
+        """Gives back what is made where texts are looked up."""
+        self._found = None
 
     def vectors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(sizes, ids, counts) of all texts' terms, one text after another; unknown words have the last number, maybe repeated."""
         words = Words(texts)
-        ids = self.places[_among(self.sorted, words.names)]
+        if self._found is None:
+            self._found = _Places(self.sorted)
+        ids = self.places[self._found.find(words.names)]
         owner, counts = [words.texts], [words.counts]
         ids = [ids]
         for place, names in words.prefixes():
@@ -327,11 +358,11 @@ class BlockMaxIndex:
         self.dense = dense[sizes[dense] * OFTEN >= max(1, n)]
         self.column = np.full(terms, -1, np.int16)
         self.column[self.dense] = np.arange(len(self.dense))
-        # Of dense terms all examples' weights; of others, by term, place and weight side by side.
+        # Of dense terms all examples' weights; of others, by term, weights whose last bits are the place.
         self.table = np.zeros((len(self.dense), self.blocks * BLOCK), np.float32)
         self.starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
-        self.postings = np.empty(self.starts[-1], np.int64)
-        places, parts = self.postings.view(np.int32)[::2], self.postings.view(np.float32)[1::2]
+        self.postings = np.empty(self.starts[-1])
+        self.mask = np.int64((1 << max(1, n.bit_length())) - 1)
         # By example, where its terms are.
         self.ends = np.cumsum(np.bincount(examples, minlength=n))
         self.begins = np.concatenate([[0], self.ends[:-1]]) if n else self.ends
@@ -341,7 +372,7 @@ class BlockMaxIndex:
             own, example, weight = self.column[ids], examples[at : at + len(ids)], weights[at : at + len(ids)]
             self.table[own[own >= 0], example[own >= 0]] = weight[own >= 0]
             rest = example[own < 0]
-            places[put : put + len(rest)], parts[put : put + len(rest)] = rest, weight[own < 0]
+            self.postings.view(np.int64)[put : put + len(rest)] = weight[own < 0].astype(float).view(np.int64) & ~self.mask | rest
             put += len(rest)
             order = np.argsort(example, kind="stable")
             example = example[order]
@@ -367,29 +398,33 @@ class BlockMaxIndex:
             group = order[at : at + GROUP]
             sums = np.empty((len(group), self.blocks * BLOCK), np.float32)
             for row, i in enumerate(group):
-                ids, weights = queries[i]
-                places, n = spread(self.starts[ids], self.starts[ids + 1])
-                met = self.postings.take(places)
-                sums[row] = np.bincount(met.view(np.int32)[::2], np.repeat(weights, n) * met.view(np.float32)[1::2], sums.shape[1])
-            reach = ahead[group] + sums.reshape(len(group), self.blocks, BLOCK).max(axis=2) + MARGIN
+                sums[row] = self._met(*queries[i])
+            most = sums.reshape(len(group), self.blocks, BLOCK)
+            while most.shape[2] > 4:  # halves of blocks against each other
+                most = np.maximum(most[:, :, : most.shape[2] // 2], most[:, :, most.shape[2] // 2 :])
+            reach = ahead[group] + most.max(axis=2) + MARGIN
             done = np.zeros(self.blocks, bool)
             done[np.argpartition(-reach, min(k // BLOCK, self.blocks - 1), axis=1)[:, : 1 + k // BLOCK]] = True
             self._complete(sums, heads[group], done)
             barred = [(row, without[i]) for row, i in enumerate(group) if without is not None and without[i] >= 0]
             for row, place in barred:
                 sums[row, place] = 0
-            least = self._kth(sums, done, k)
+            seen = self._seen(sums, done)
+            least = self._kth(seen, k)
             more = (reach >= least[:, None]).any(axis=0) & ~done
             if more.any():
                 self._complete(sums, heads[group], more)
                 done |= more
                 for row, place in barred:
                     sums[row, place] = 0
-                least = self._kth(sums, done, k)
-            sums.reshape(len(group), self.blocks, BLOCK)[:, ~done] = 0
+                seen = self._seen(sums, done)
+                least = self._kth(seen, k)
             least = np.maximum(least - np.float32(MARGIN), np.finfo(np.float32).tiny)
-            for row, i in enumerate(group):
-                out[i] = self._exact(*queries[i], np.flatnonzero(sums[row] >= least[row]), k)
+            place = (np.flatnonzero(done)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            rows, at_ = np.nonzero(seen >= least[:, None])
+            found = np.split(place[at_], np.searchsorted(rows, np.arange(1, len(group))))
+            for i, x in zip(group, found, strict=True):
+                out[i] = self._exact(*queries[i], x, k)
         return out
 
     def _complete(self, sums: np.ndarray, heads: np.ndarray, blocks: np.ndarray) -> None:
@@ -402,10 +437,29 @@ class BlockMaxIndex:
                 d = min(b, c + 32 * BLOCK)
                 sums[:, c:d] += heads @ self.table[terms, c:d]
 
+    def _met(self, ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What a query shares with each example by rarer terms."""
+        starts = self.starts[ids]
+        n = self.starts[ids + 1] - starts
+        some = np.flatnonzero(n)
+        some = some[np.argsort(n[some], kind="stable")]
+        starts, n = starts[some], n[some]
+        few = int(np.searchsorted(n, FEW))
+        ends = starts + n
+        met = np.concatenate([self.postings.take(spread(starts[:few], ends[:few])[0]), *(self.postings[a:b] for a, b in zip(starts[few:].tolist(), ends[few:].tolist()))])
+        parts = np.repeat(weights[some], n)
+        parts *= met
+        out = np.zeros(self.blocks * BLOCK)
+        np.add.at(out, met.view(np.int64) & self.mask, parts)
+        return out
+
+    @staticmethod
+    def _seen(sums: np.ndarray, done: np.ndarray) -> np.ndarray:
+        return sums.reshape(len(sums), -1, BLOCK)[:, done].reshape(len(sums), -1)
+
     @staticmethod
-    def _kth(sums: np.ndarray, done: np.ndarray, k: int) -> np.ndarray:
-        seen = sums.reshape(len(sums), -1, BLOCK)[:, done].reshape(len(sums), -1)
-        return np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(len(sums), np.float32)
+    def _kth(seen: np.ndarray, k: int) -> np.ndarray:
+        return np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(len(seen), np.float32)
 
     def _exact(self, ids, weights, found, k):
         """The k best of these examples, their cosines summed in double precision."""
@@ -414,7 +468,8 @@ class BlockMaxIndex:
         self._spots[ids] = weights
         begins, ends = self.begins[found], self.ends[found]
         own = [slice(a, b) for a, b in zip(begins.tolist(), ends.tolist())]
-        products = self._spots.take(np.concatenate([self.ids[x] for x in own])) * np.concatenate([self.weights[x] for x in own])
+        products = self._spots.take(np.concatenate([self.ids[x] for x in own], dtype=np.int64))
+        products *= np.concatenate([self.weights[x] for x in own])
         cosines = np.round(np.add.reduceat(products, np.cumsum(ends - begins) - (ends - begins)), 9)
         self._spots[ids] = 0
         best = np.lexsort((self.rank[found], -cosines))[:k]
@@ -503,6 +558,7 @@ def _drop(shared) -> None:
     Idle workers live on, tasks are dealt to them in turn, and each would keep one, in the stages that follow too.
     """
     shared.value._index = None
+    shared.value.words.forget()
     if getattr(shared, "_path", None) is not None:
         shared.__dict__.pop("_value", None)
     release()

@@ -4,6 +4,7 @@ import collections
 import itertools
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -241,3 +242,37 @@ def test_block_max_index_finds_the_exact_nearest():
         want = sorted(np.flatnonzero(all_ > 0), key=lambda i: (-all_[i], i))[:10]
         assert index.names[places].tolist() == [int(i) for i in want]
         assert cosines == pytest.approx(all_[want])
+
+
+def test_names_are_found_by_their_first_bits():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        known = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) >> np.uint64(rng.integers(0, 40)))  # spread out, or all in one place
+        asked = np.concatenate([known[::-1], known + np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)])
+        place = {x: i for i, x in enumerate(known.tolist())}
+        assert toxicity._Places(known).find(asked).tolist() == [place.get(x, -1) for x in asked.tolist()]
+
+
+def test_words_of_texts_are_counted_as_one_by_one():
+    texts = ["", None, "a b a", "1 2", "b A é日 b-b", "a"]
+    words = toxicity.Words(texts)
+    want = [collections.Counter(re.findall(r"[^\W\d_]+", (t or "").lower())) for t in texts]
+    assert words.sizes.tolist() == [len(x) for x in want]
+    own = [dict(zip(words.names[words.texts == i].tolist(), words.counts[words.texts == i].tolist())) for i in range(len(texts))]
+    assert [sorted(x.values()) for x in own] == [sorted(x.values()) for x in want]
+    a, = own[5]
+    assert [x.get(a, 0) for x in own] == [x["a"] for x in want] and all(list(x) == sorted(x) for x in own)
+    assert len(toxicity.Words([]).names) == len(toxicity.Words(["", "1"]).names) == 0
+
+
+def test_postings_keep_place_and_weight_in_one_number():
+    rng = np.random.default_rng(5)
+    examples = [np.unique(rng.integers(0, 3000, 12)) for _ in range(700)] + [np.array([0])] * 300
+    vectors = [(x, np.full(len(x), len(x) ** -0.5)) for x in examples]
+    index = toxicity.BlockMaxIndex(vectors, [0] * 1000, range(1000), 3000)
+    order = np.argsort(index.names)
+    ids, weights = np.array([0, 5, 700, 2999]), np.array([0.5, 0.7, 0.4, 0.3])
+    rare = index.column[ids] < 0
+    want = [sum(w * x[1][x[0] == i].sum() for i, w in zip(ids[rare], weights[rare])) for x in vectors]
+    assert 0 < rare.sum() < 4 and index.postings.nbytes == 8 * index.starts[-1]
+    assert np.abs(index._met(ids, weights)[order] - want).max() < toxicity.MARGIN / 100
