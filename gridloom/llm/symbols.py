@@ -80,6 +80,7 @@ def parts_of(b: pa.RecordBatch, column: int, texts: int = TEXTS, most: int = BYT
 def release() -> None:
     """Gives freed memory back to the system: a worker stays alive after its task, and what it holds counts for its executor."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library

@@ -237,7 +237,7 @@ class _Places:
     """The places of names in an ascending array, found by their first bits."""
 
     def __init__(self, sorted_: np.ndarray):
-        bits = max(1, len(sorted_).bit_length())
+        bits = max(1, len(sorted_).bit_length() - 1)
         self.shift, self.size = np.uint64(64 - bits), len(sorted_)
         self.starts = np.concatenate([[0], np.cumsum(np.bincount((sorted_ >> self.shift).astype(np.int64), minlength=1 << bits))]).astype(np.int32)
         self.sorted = np.append(sorted_, np.uint64((1 << 64) - 1))  # an end that no name is beyond
@@ -626,6 +626,8 @@ def _example_vectors(words: Vocabulary):
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (ids, counts)]
                 digests = pa.array([_digest(t) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), digests, *lists], ["doc_id", "label", "digest", "ids", "counts"])
+        words.forget()
+        release()
 
     return run
 

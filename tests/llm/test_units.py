@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridloom.llm import fingerprint, html_text, near_dup, segment, suffixes, toxicity
@@ -276,3 +277,12 @@ def test_postings_keep_place_and_weight_in_one_number():
     want = [sum(w * x[1][x[0] == i].sum() for i, w in zip(ids[rare], weights[rare])) for x in vectors]
     assert 0 < rare.sum() < 4 and index.postings.nbytes == 8 * index.starts[-1]
     assert np.abs(index._met(ids, weights)[order] - want).max() < toxicity.MARGIN / 100
+
+
+def test_workers_give_back_what_was_made_for_their_tasks(monkeypatch):
+    words = toxicity.Vocabulary(np.empty(0, np.uint64), toxicity.Words(["a b"]).names, np.array([1, 1]), 2)
+    rows = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array(["a b a"])], ["doc_id", "label", "text"])
+    freed = []
+    monkeypatch.setattr(toxicity, "release", lambda: freed.append(words._found is None))
+    out = list(toxicity._example_vectors(words)(iter([rows])))
+    assert sorted(out[0].column(4).to_pylist()[0]) == [1, 2] and freed == [True]
